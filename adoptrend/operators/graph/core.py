@@ -64,6 +64,11 @@ def settle(df: DataFrame, **measures: Column) -> tuple[DataFrame, dict]:
     return done, seen.get
 
 
+def endpoints(edges: DataFrame) -> DataFrame:
+    """The vertices that have an edge."""
+    return edges.select(F.explode(F.array("src", "dst")).alias("id")).distinct()
+
+
 def degree(vertices: DataFrame, both_ways: DataFrame) -> DataFrame:
     """Number of neighbours of every vertex, 0 for isolated ones."""
     counted = both_ways.groupBy(F.col("src").alias("id")).agg(F.count("*").alias("degree"))
