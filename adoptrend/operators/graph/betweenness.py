@@ -84,6 +84,7 @@ def betweenness(
     steps = cut(
         onward.join(reached, ["s", "v"]).where(F.abs(F.col("_via") - F.col("d")) <= CLOSE).select("s", "u", "v")
     )
+    links.release()
     one = reached.where(F.col("s") == F.col("v")).select("s", "v", F.lit(1.0).alias("x"))
     paths = cut(_walk(one, steps, "u", "v"))
     # what each target asks of the vertices before it, carried back along the steps

@@ -169,12 +169,14 @@ def communities(
                 "id", "k", (F.col("inner") + F.coalesce("_within", F.lit(0.0))).alias("inner"), F.col("id").alias("community")
             )
         )
+        links.release()
         before = state
         state, seen = settle(merged, n=F.count(F.lit(1)))
         links = SplitEdges(crossing.where(F.col("src") != F.col("dst")), hub_edges)
         if not links.total or seen["n"] == before.count():
             break
 
+    links.release()
     sized = members.groupBy("node").agg(F.count("*").alias("_size"), F.min("id").alias("_first"))
     ranked = global_rank(sized.withColumn("_smaller", -F.col("_size")), ["_smaller", "_first"], "community_id")
     return members.join(ranked.select("node", "community_id"), "node").select("id", "community_id")

@@ -7,29 +7,26 @@ from pyspark.sql import functions as F
 
 from adoptrend.operators.graph.core import SplitEdges, settle, symmetric
 from adoptrend.operators.skew import HEAVY_ROWS, lookup
+from adoptrend.session import cut
 
 
 def components(vertices: DataFrame, edges: DataFrame, max_rounds: int = 100, hub_edges: int = HEAVY_ROWS) -> DataFrame:
     """``(id, component)``: the smallest id of each vertex's component.
 
     A round takes the smallest label among the neighbours and then follows the label's own label,
-    so that the number of rounds grows with the logarithm of the longest path on most graphs. Late in the run most vertices share
-    one label; the lookup treats such a label apart.
+    so that on most graphs the rounds grow with the logarithm of the longest path. Late in the run
+    most vertices share one label; the lookup treats such a label apart.
     """
     links = SplitEdges(symmetric(edges), hub_edges)
     state, seen = settle(vertices.select("id", F.col("id").alias("component")), n=F.count(F.lit(1)))
     n = seen["n"]
     for _ in range(max_rounds):
-        nearest = (
-            links.send(state, "component")
-            .groupBy(F.col("dst").alias("id"))
-            .agg(F.min("component").alias("_near"))
-        )
-        hooked, _ = settle(
-            state.join(nearest, "id", "left").select(
-                "id", F.least("component", "_near").alias("_label"), F.col("component").alias("_before")
-            ),
-            n=F.count(F.lit(1)),
+        heard = links.send(state, "component").select(F.col("dst").alias("id"), F.col("component").alias("_label"))
+        hooked = cut(
+            state.select("id", F.col("component").alias("_label"), F.col("component").alias("_before"))
+            .unionByName(heard, allowMissingColumns=True)
+            .groupBy("id")
+            .agg(F.min("_label").alias("_label"), F.max("_before").alias("_before"))
         )
         roots = hooked.select(F.col("id").alias("_label"), F.col("_label").alias("component"))
         jumped = lookup(hooked, roots, "_label", n, hub_edges)
@@ -40,5 +37,7 @@ def components(vertices: DataFrame, edges: DataFrame, max_rounds: int = 100, hub
         if not seen["changed"]:
             break
     else:
+        links.release()
         raise RuntimeError(f"components still changing after {max_rounds} rounds")
+    links.release()
     return state

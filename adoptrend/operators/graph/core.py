@@ -6,6 +6,7 @@ its edges are split into parts, and what the vertex sends goes to every part.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -30,27 +31,38 @@ def reverse(edges: DataFrame) -> DataFrame:
 
 
 class SplitEdges:
-    """Directed edges keyed by (src, part), and the parts of every source that has several."""
+    """Directed edges laid out by source once, for all rounds that join to them.
+
+    The layout is cached, so a round moves only what the vertices send; a lost executor's share
+    is rebuilt from the written edges. A source with very many edges is split into parts.
+    """
 
     def __init__(self, edges: DataFrame, least: int = HEAVY_ROWS):
-        plain = cut(edges.select("src", "dst", F.col("w").cast("double").alias("w")))
-        self.total = plain.count()
-        self.heavy = cut(heavy_keys(plain, "src", self.total, least))
-        part = F.pmod(F.xxhash64("dst"), F.coalesce(F.col("_parts"), F.lit(1))).cast("int")
-        self.edges = (
-            plain.join(F.broadcast(self.heavy), "src", "left").withColumn("part", part).drop("_parts")
-        )
+        written = cut(edges.select("src", "dst", F.col("w").cast("double").alias("w")))
+        self.total = written.count()
+        self.heavy = None
+        if self.total > least:
+            heavy = cut(heavy_keys(written, "src", self.total, least))
+            self.heavy = heavy if heavy.count() else None
+        self.keys = ["src"] if self.heavy is None else ["src", "part"]
+        if self.heavy is not None:
+            part = F.pmod(F.xxhash64("dst"), F.coalesce("_parts", F.lit(1))).cast("int")
+            written = written.join(F.broadcast(self.heavy), "src", "left").withColumn("part", part).drop("_parts")
+        n = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        self.edges = written.repartition(n, *self.keys).persist(StorageLevel.MEMORY_AND_DISK)
 
     def send(self, state: DataFrame, *columns: str) -> DataFrame:
         """Join ``state(id, columns...)`` to the edges leaving each id."""
-        parts = F.sequence(F.lit(0), F.coalesce(F.col("_parts"), F.lit(1)) - 1)
-        spread = (
-            state.select(F.col("id").alias("src"), *columns)
-            .join(F.broadcast(self.heavy), "src", "left")
-            .withColumn("part", F.explode(parts))
-            .drop("_parts")
-        )
-        return self.edges.join(spread, ["src", "part"])
+        sent = state.select(F.col("id").alias("src"), *columns)
+        if self.heavy is not None:
+            parts = F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1)
+            sent = (
+                sent.join(F.broadcast(self.heavy), "src", "left").withColumn("part", F.explode(parts)).drop("_parts")
+            )
+        return self.edges.join(sent, self.keys)
+
+    def release(self) -> None:
+        self.edges.unpersist()
 
 
 def out_weights(edges: DataFrame) -> DataFrame:

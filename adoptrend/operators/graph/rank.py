@@ -38,13 +38,17 @@ def pagerank(
         given = links.send(
             state.where(F.col("out_w").isNotNull()).withColumn("share", F.col("rank") / F.col("out_w")), "share"
         )
-        received = given.groupBy(F.col("dst").alias("id")).agg(F.sum(F.col("share") * F.col("w")).alias("received"))
         base = (1 - alpha) / n + alpha * stranded / n
-        moved = state.join(received, "id", "left").select(
-            "id",
-            "out_w",
-            (F.lit(base) + alpha * F.coalesce("received", F.lit(0.0))).alias("rank"),
-            F.col("rank").alias("_before"),
+        # what a vertex receives and what it was meet in one aggregation instead of a join
+        moved = (
+            state.select("id", "out_w", "rank", F.lit(0.0).alias("_in"))
+            .unionByName(
+                given.select(F.col("dst").alias("id"), (F.col("share") * F.col("w")).alias("_in")),
+                allowMissingColumns=True,
+            )
+            .groupBy("id")
+            .agg(F.max("out_w").alias("out_w"), F.max("rank").alias("_before"), F.sum("_in").alias("_in"))
+            .select("id", "out_w", "_before", (F.lit(base) + alpha * F.col("_in")).alias("rank"))
         )
         moved, seen = settle(
             moved,
@@ -54,6 +58,7 @@ def pagerank(
         state, stranded = moved.drop("_before"), seen["stranded"]
         if tol is not None and seen["change"] < n * tol:
             break
+    links.release()
     return state.select("id", F.col("rank").alias("pagerank"))
 
 
@@ -75,6 +80,8 @@ def hits(edges: DataFrame, iters: int = 15, hub_edges: int = HEAVY_ROWS) -> Data
     for _ in range(iters):
         authorities, authority_scale = pass_on(forward, hubs, hub_scale)
         hubs, hub_scale = pass_on(backward, authorities, authority_scale)
+    forward.release()
+    backward.release()
     hub = hubs.select("id", (F.col("score") * hub_scale).alias("hub"))
     authority = authorities.select("id", (F.col("score") * authority_scale).alias("authority"))
     return hub.join(authority, "id", "full").fillna(0.0, subset=["hub", "authority"])

@@ -23,11 +23,13 @@ def heavy_keys(df: DataFrame, key: str, total: int, least: int = HEAVY_ROWS) ->
 
 
 def lookup(left: DataFrame, right: DataFrame, key: str, total: int, least: int = HEAVY_ROWS) -> DataFrame:
-    """Inner join with a ``right`` side unique on ``key``.
+    """Inner join of ``left``, of ``total`` rows, with a ``right`` side unique on ``key``.
 
     Rows of a heavy key meet their one partner through a broadcast of at most HEAVY_SHARE rows;
     all others take the usual join. ``left`` is read twice and should be materialised.
     """
+    if total <= least:
+        return left.join(right, key)
     heavy = heavy_keys(left, key, total, least).select(key)
     partners = right.join(F.broadcast(heavy), key, "left_semi")
     split = left.join(F.broadcast(partners), key)
