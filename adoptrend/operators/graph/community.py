@@ -92,14 +92,18 @@ def _best_moves(state: DataFrame, links: SplitEdges, total: float, movers: int,
     return done, seen["wanting"], quality
 
 
-def _local_moves(state: DataFrame, links: SplitEdges, total: float, max_rounds: int, seed: int):
-    """Rounds of moves until nobody gains; returns labels (id, k, inner, community) and modularity."""
+def _local_moves(state: DataFrame, links: SplitEdges, total: float, max_rounds: int, round_gain: float, seed: int):
+    """Rounds of moves until they bring little; returns labels (id, k, inner, community) and modularity.
+
+    What a level leaves undone, the next and smaller level does at less cost.
+    """
     movers, best_quality, best = 2, None, None
     for turn in range(max_rounds):
         moved, wanting, quality = _best_moves(state, links, total, movers, turn, seed)
         if best_quality is None or quality >= best_quality:
+            little = best_quality is not None and 0 < quality - best_quality < round_gain * abs(quality)
             best_quality, best = quality, state
-            if not wanting:
+            if not wanting or little:
                 break
             state = moved.select("id", "k", "inner", F.col("best").alias("community"))
         else:
@@ -115,6 +119,8 @@ def communities(
     edges: DataFrame,
     max_rounds: int = 20,
     max_levels: int = 10,
+    round_gain: float = 0.015,
+    level_gain: float = 0.005,
     seed: int = SEED,
     hub_edges: int = HEAVY_ROWS,
 ) -> DataFrame:
@@ -135,8 +141,8 @@ def communities(
     total = seen["total"]
     quality = None
     for _ in range(max_levels if total else 0):
-        labels, reached = _local_moves(state, links, total, max_rounds, seed)
-        if quality is not None and reached <= quality + GAIN:
+        labels, reached = _local_moves(state, links, total, max_rounds, round_gain, seed)
+        if quality is not None and reached <= quality + max(GAIN, level_gain * abs(quality)):
             break
         quality = reached
         # a community that moves have torn apart becomes several

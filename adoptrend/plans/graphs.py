@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from adoptrend.operators import actors, migration
 from adoptrend.operators.graph import betweenness as between
 from adoptrend.operators.graph import components as comps
-from adoptrend.operators.graph import core, rank
+from adoptrend.operators.graph import community, core, rank
 from adoptrend.plans.registry import query
 from adoptrend.plans.trending import rounded
 from adoptrend.sources.inputs import EDGE_WEIGHT, Inputs, with_views
@@ -282,7 +282,26 @@ def betweenness_directed(t: Inputs) -> DataFrame:
     ),
 )
 def modularity_by_segment(t: Inputs) -> DataFrame:
-    from adoptrend.operators.graph.community import modularity
-
     labels = t.segments.select(F.col("dev_id").alias("id"), F.col("community_id").alias("community"))
-    return modularity(labels, t.actor_graph).select(F.round("modularity", 8).alias("modularity"))
+    return community.modularity(labels, t.actor_graph).select(F.round("modularity", 8).alias("modularity"))
+
+
+@query(
+    "betweenness_undirected",
+    with_views(
+        "actor_links",
+        "actor_vertices",
+        extra=betweenness_views("actor_vertices", "actor_links", 9),
+        body="""SELECT id AS dev_id, round(coalesce(b, 0) / ((SELECT count(*) FROM actor_vertices) - 1)
+                       / ((SELECT count(*) FROM actor_vertices) - 2), 8) AS betweenness
+                FROM actor_vertices LEFT JOIN delta ON v = id""",
+    ),
+)
+def betweenness_undirected(t: Inputs) -> DataFrame:
+    scores = between.betweenness(t.actor_vertices, t.actor_graph, directed=False)
+    return scores.select(F.col("id").alias("dev_id"), F.round("betweenness", 8).alias("betweenness"))
+
+
+@query("communities")
+def communities(t: Inputs) -> DataFrame:
+    return community.communities(t.actor_vertices, t.actor_graph).withColumnRenamed("id", "dev_id")
