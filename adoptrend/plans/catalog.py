@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from adoptrend.plans import extraction, forecasting, graphs, trending  # noqa: F401
+from adoptrend.plans import clusters, extraction, forecasting, graphs, trending, views  # noqa: F401
 from adoptrend.plans.registry import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]

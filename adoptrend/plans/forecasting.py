@@ -207,9 +207,9 @@ def forecast_holt_winters(t: Inputs) -> DataFrame:
 
 @query("forecast_rows")
 def forecast_rows(t: Inputs) -> DataFrame:
-    return fc.legacy_columns(fc.forecast(t.monthly, min_span=SPAN))
+    return fc.legacy_columns(fc.forecast(t.monthly_table, min_span=SPAN))
 
 
 @query("backtest_holt_winters")
 def backtest_holt_winters(t: Inputs) -> DataFrame:
-    return fc.backtest_model(t.monthly, min_span=SPAN - 12)
+    return fc.backtest_model(t.monthly_table, min_span=SPAN - 12)

@@ -64,7 +64,7 @@ def growth_index(t: Inputs) -> DataFrame:
     ),
 )
 def market_share(t: Inputs) -> DataFrame:
-    return rounded(trends.market_share(t.monthly), "share")
+    return rounded(trends.market_share(t.monthly_table), "share")
 
 
 ORDINAL = "(CAST(substr({0}, 1, 4) AS INT) * 12 + CAST(substr({0}, 6, 2) AS INT))"
@@ -112,7 +112,7 @@ def top_languages(t: Inputs) -> DataFrame:
     ),
 )
 def latest_volume(t: Inputs) -> DataFrame:
-    return trends.latest_volume(t.monthly)
+    return trends.latest_volume(t.monthly_table)
 
 
 HEAT = """SELECT language, substr(year_month, 1, 4) AS year, avg(repo_count) AS mean_value FROM monthly GROUP BY 1, 2"""

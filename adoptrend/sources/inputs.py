@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from adoptrend.functions.calendar import month_label, year_label
 from adoptrend.functions.fixed import EXCLUDED_LABELS
 from adoptrend.functions.text import normalise
-from adoptrend.operators import actors, clean, extract, migration, trends
+from adoptrend.operators import actors, clean, extract, migration, serving, trends
+from adoptrend.operators.graph import core, rank
 from adoptrend.operators.ordered import previous_value
 from adoptrend.session import cut, tune
 
@@ -29,6 +30,7 @@ REPOS = (10, 75)
 MEMBERS = 40
 SHARED = 2
 YEAR = "2000"
+RANK_ROUNDS = 10
 MESSAGE_STEMS = ("the", "and", "of", "in", "was")
 MESSAGE_SWAPS = ("with", "for")
 
@@ -92,6 +94,11 @@ class Inputs:
     def monthly(self) -> DataFrame:
         return trends.monthly_metrics(self.enriched, COVERAGE)
 
+    @cached_property
+    def monthly_table(self) -> DataFrame:
+        """The monthly metrics written once, for queries that read them several times."""
+        return cut(self.monthly)
+
     @cached_property
     def pushes(self) -> DataFrame:
         """One row per line of an order: who, which repository, when."""
@@ -149,6 +156,23 @@ class Inputs:
             self.co_edges.select(F.col("dev_a").alias("src"), F.col("dev_b").alias("dst"), F.col("shared_repos").alias("w"))
         )
 
+    @cached_property
+    def actor_degrees(self) -> DataFrame:
+        return core.degree(self.actor_vertices, core.symmetric(self.actor_graph))
+
+    @cached_property
+    def actor_ranks(self) -> DataFrame:
+        return rank.pagerank(self.actor_vertices, self.actor_graph, directed=False, iters=RANK_ROUNDS)
+
+    @cached_property
+    def influence(self) -> DataFrame:
+        return serving.influence_table(self.actor_ranks, self.actor_degrees, self.top_actors)
+
+    @cached_property
+    def segment_members(self) -> DataFrame:
+        """Actors with segment, rank and degree, as communities are tabulated."""
+        return cut(self.influence.join(self.segments, "dev_id").select("dev_id", "community_id", "pagerank", "degree"))
+
     @cached_property
     def segments(self) -> DataFrame:
         """A given label per actor: the customer's nation."""
