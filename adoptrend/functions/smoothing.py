@@ -31,12 +31,12 @@ def _errors(y: np.ndarray, params: np.ndarray):
     for s in range(SEASON - 1):
         seasons[s, :, 3 + s] = 1.0
         seasons[SEASON - 1, :, 3 + s] = -1.0
-    errors = np.empty((len(y), rows, width))
+    errors = np.empty((rows, len(y), width))
     for t, value in enumerate(y):
         onward = level + phi * trend
         error = -(onward + seasons[t % SEASON])
         error[:, 0] += value
-        errors[t] = error
+        errors[:, t] = error
         level = onward + alpha * error
         trend = phi * trend + beta * error
         seasons[t % SEASON] += gamma * error
@@ -44,12 +44,13 @@ def _errors(y: np.ndarray, params: np.ndarray):
 
 
 def _best_starts(errors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    design, target = errors[:, :, 1:], -errors[:, :, 0]
-    gram = np.einsum("tpi,tpj->pij", design, design)
+    design, target = errors[:, :, 1:], -errors[:, :, :1]
+    turned = design.transpose(0, 2, 1)
+    gram = turned @ design
     gram += 1e-9 * np.eye(gram.shape[1]) * (1 + np.trace(gram, axis1=1, axis2=2))[:, None, None]
-    starts = np.linalg.solve(gram, np.einsum("tpi,tp->pi", design, target)[:, :, None])[:, :, 0]
-    residuals = np.einsum("tpi,pi->tp", design, starts) - target
-    return starts, (residuals**2).sum(axis=0)
+    starts = np.linalg.solve(gram, turned @ target)
+    residuals = design @ starts - target
+    return starts[:, :, 0], (residuals**2).sum(axis=(1, 2))
 
 
 def fit_and_forecast(y: np.ndarray, horizon: int):
@@ -68,7 +69,7 @@ def fit_and_forecast(y: np.ndarray, horizon: int):
     errors, level, trend, seasons = _errors(z, best[None, :])
     start, sse = _best_starts(errors)
     state = np.concatenate([[1.0], start[0]])
-    residuals = errors[:, 0, :] @ state
+    residuals = errors[0] @ state
     level, trend, seasons = level[0] @ state, trend[0] @ state, seasons[:, 0, :] @ state
     alpha, beta, gamma, phi = best
     beta, gamma = alpha * beta, (1 - alpha) * gamma

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -19,8 +21,9 @@ def ascii_boundaries(pattern: str) -> str:
 
     Java's own ``\b`` follows Unicode up to release 18 while ``\w`` does not; messages in
     accented languages would then split differently from the extraction this must agree with.
+    A boundary in front of a word or group opens it, any other closes one, as in all patterns here.
     """
-    return pattern.replace(r"\b", r"(?:(?<=\w)(?!\w)|(?<!\w)(?=\w))")
+    return re.sub(r"\\b(?=[\w(])", r"(?<!\\w)", pattern).replace(r"\b", r"(?!\w)")
 
 
 def contains_pattern(text: Column, pattern: str) -> Column:

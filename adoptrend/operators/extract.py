@@ -39,10 +39,13 @@ def _bound(df: DataFrame, ts: str, day: date) -> Column:
     return F.lit(day.isoformat()).cast(df.schema[ts].dataType)
 
 
-def scan_months(df: DataFrame, ts: str, lo: str, hi: str) -> DataFrame:
-    """Rows of the months ``lo`` to ``hi`` (``YYYYMM``), both included."""
-    start, stop = _bound(df, ts, _first_of(lo)), _bound(df, ts, _following(_first_of(hi)))
-    return df.where((F.col(ts) >= start) & (F.col(ts) < stop))
+def scan_months(df: DataFrame, ts: str, lo: str | None, hi: str | None) -> DataFrame:
+    """Rows of the months ``lo`` to ``hi`` (``YYYYMM`` or ``YYYY-MM``), both included; None is open."""
+    if lo is not None:
+        df = df.where(F.col(ts) >= _bound(df, ts, _first_of(lo)))
+    if hi is not None:
+        df = df.where(F.col(ts) < _bound(df, ts, _following(_first_of(hi))))
+    return df
 
 
 def scan_complete_months(df: DataFrame, ts: str, asof: date) -> DataFrame:
@@ -162,7 +165,10 @@ def parse_pairs(
     patterns = pair_patterns(STRICT_STEMS, swap_stems, STRICT_DIRECT_STEMS) if strict else pair_patterns(stems, swap_stems)
     message = F.lower(F.col(text))
     tidy = (lambda c: c) if strict else (lambda c: F.nullif(F.rtrim(c, F.lit(".-")), F.lit("")))
-    source = F.coalesce(first_group(message, patterns["from_verb"]), first_group(message, patterns["from_swap"]))
+    source = F.coalesce(
+        F.when(message.contains("from"), first_group(message, patterns["from_verb"])),
+        F.when(message.contains("with"), first_group(message, patterns["from_swap"])),
+    )
     target = F.coalesce(first_group(message, patterns["to_verb"]), first_group(message, patterns["to_direct"]))
     told = F.col(text).isNotNull()
     if strict:
@@ -187,8 +193,12 @@ def mine_pairs(
 ) -> DataFrame:
     """Migration pairs per period, seen at least ``min_count`` times."""
     sized = F.length("from_tech").between(min_len, max_len) & F.length("to_tech").between(min_len, max_len)
+    # words without which there is no source or no target: far cheaper to look for than the patterns
+    message = F.lower(F.col(text))
+    sourced = message.contains("from") | message.contains("with")
+    aimed = message.contains("to") | message.contains("with")
     return (
-        parse_pairs(df, text, stems, swap_stems, strict)
+        parse_pairs(df.where(sourced & aimed), text, stems, swap_stems, strict)
         .where(sized & (F.col("from_tech") != F.col("to_tech")))
         .groupBy("from_tech", "to_tech", F.col(period).alias("year"))
         .agg(F.count("*").alias("migration_count"))

@@ -182,9 +182,15 @@ def _fit_one(horizon: int):
 
 
 def holt_winters(series: DataFrame, horizon: int = HORIZON) -> DataFrame:
-    """History and forecast rows of every series, one task per series; a failed fit keeps its rows."""
+    """History and forecast rows of every series; a failed fit keeps its rows.
+
+    The rows are few and the fits are long: the number of tasks follows the cores, where run-time
+    merging by size would leave all fits to one task.
+    """
     columns = ["language", "month_no", "year_month", "value"]
-    return series.select(*columns).groupBy("language").applyInPandas(_fit_one(horizon), ROWS)
+    cores = series.sparkSession.sparkContext.defaultParallelism
+    spread = series.select(*columns).repartition(cores, "language")
+    return spread.groupBy("language").applyInPandas(_fit_one(horizon), ROWS)
 
 
 def forecast(

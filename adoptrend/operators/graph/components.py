@@ -9,33 +9,48 @@ from adoptrend.operators.graph.core import SplitEdges, settle, symmetric
 from adoptrend.operators.skew import HEAVY_ROWS, lookup
 from adoptrend.session import cut
 
+# pointer steps per round
+JUMPS = 3
+
 
 def components(vertices: DataFrame, edges: DataFrame, max_rounds: int = 100, hub_edges: int = HEAVY_ROWS) -> DataFrame:
     """``(id, component)``: the smallest id of each vertex's component.
 
-    A round takes the smallest label among the neighbours and then follows the label's own label,
-    so that on most graphs the rounds grow with the logarithm of the longest path. Late in the run
-    most vertices share one label; the lookup treats such a label apart.
+    All vertices with one label form a tree that moves as a whole: a round finds the smallest
+    label next to each tree, follows those pointers a few steps, and relabels the vertices. Every
+    tree with a neighbour merges in every round, so the rounds grow with the logarithm of the
+    number of vertices, also on long paths. Late in the run most vertices share one label; the
+    lookups treat such a label apart.
     """
     links = SplitEdges(symmetric(edges), hub_edges)
     state, seen = settle(vertices.select("id", F.col("id").alias("component")), n=F.count(F.lit(1)))
     n = seen["n"]
     for _ in range(max_rounds):
-        heard = links.send(state, "component").select(F.col("dst").alias("id"), F.col("component").alias("_label"))
-        hooked = cut(
-            state.select("id", F.col("component").alias("_label"), F.col("component").alias("_before"))
+        heard = links.send(state, "component").select(F.col("dst").alias("id"), F.col("component").alias("_near"))
+        around = (
+            state.select("id", F.col("component").alias("_tree"), F.col("component").alias("_near"))
             .unionByName(heard, allowMissingColumns=True)
             .groupBy("id")
-            .agg(F.min("_label").alias("_label"), F.max("_before").alias("_before"))
+            .agg(F.max("_tree").alias("_tree"), F.min("_near").alias("_near"))
         )
-        roots = hooked.select(F.col("id").alias("_label"), F.col("_label").alias("component"))
-        jumped = lookup(hooked, roots, "_label", n, hub_edges)
-        state, seen = settle(
-            jumped.select("id", "component", "_before"), changed=F.count_if(F.col("component") != F.col("_before"))
+        pointers, seen = settle(
+            around.groupBy("_tree").agg(F.min("_near").alias("_to")),
+            trees=F.count(F.lit(1)),
+            moving=F.count_if(F.col("_to") != F.col("_tree")),
         )
-        state = state.drop("_before")
-        if not seen["changed"]:
+        if not seen["moving"]:
             break
+        onward = pointers.select(F.col("_tree").alias("_to"), F.col("_to").alias("_further"))
+        for _ in range(JUMPS):
+            pointers = lookup(pointers, onward, "_to", seen["trees"], hub_edges).select(
+                "_tree", F.col("_further").alias("_to")
+            )
+            if seen["trees"] > hub_edges:
+                pointers = cut(pointers)
+        moved = lookup(
+            state.withColumnRenamed("component", "_tree"), pointers, "_tree", n, hub_edges
+        )
+        state = cut(moved.select("id", F.col("_to").alias("component")))
     else:
         links.release()
         raise RuntimeError(f"components still changing after {max_rounds} rounds")

@@ -14,6 +14,10 @@ from adoptrend.operators.skew import HEAVY_ROWS, heavy_keys
 from adoptrend.session import cut
 
 
+# a graph below this size is sent to by broadcast, and gains nothing from many parts
+FEW_EDGES = 1_000_000
+
+
 def symmetric(edges: DataFrame) -> DataFrame:
     """Both directions of every undirected edge, from one pass over the edges."""
     return edges.select(
@@ -48,7 +52,10 @@ class SplitEdges:
         if self.heavy is not None:
             part = F.pmod(F.xxhash64("dst"), F.coalesce("_parts", F.lit(1))).cast("int")
             written = written.join(F.broadcast(self.heavy), "src", "left").withColumn("part", part).drop("_parts")
+        # as many parts as any other exchange has, so that the cached side of a join stays where it is
         n = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        if self.total < FEW_EDGES:
+            n = min(n, 8)
         self.edges = written.repartition(n, *self.keys).persist(StorageLevel.MEMORY_AND_DISK)
 
     def send(self, state: DataFrame, *columns: str) -> DataFrame:

@@ -21,10 +21,11 @@ CHUNK = "_chunk"
 def ordered_chunks(df: DataFrame, order: Sequence[str], chunks: int | None = None) -> DataFrame:
     """Rows with the number of the range they fall in, ascending in ``order``.
 
+    Without a number of chunks, adjacent ranges are merged at run time until each is worth a task.
     The result is materialised, so that every later use sees the same borders.
     """
-    n = chunks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n, *[F.col(c) for c in order])
+    columns = [F.col(c) for c in order]
+    ranged = df.repartitionByRange(chunks, *columns) if chunks else df.repartitionByRange(*columns)
     return cut(ranged.withColumn(CHUNK, F.spark_partition_id()))
 
 

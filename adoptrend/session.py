@@ -57,8 +57,19 @@ def shared_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+def _scratch(spark: SparkSession) -> str:
+    return f"{shared_dir(spark).rstrip('/')}/adoptrend/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_dir(spark).rstrip('/')}/adoptrend/{label}-{uuid.uuid4().hex}"
+    """A new folder name for an intermediate table of this application."""
+    return f"{_scratch(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete all intermediate tables of this application; results read lazily from them are gone too."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_scratch(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def cut(df: DataFrame) -> DataFrame:

@@ -69,10 +69,12 @@ class Inputs:
 
     @cached_property
     def commits_monthly(self) -> DataFrame:
-        counted = (
-            self.table("lineitem")
-            .groupBy("l_partkey", month_label(F.col("l_shipdate")).alias("year_month"))
-            .agg(F.count("*").alias("commit_count"))
+        return self._commits(self.table("lineitem"))
+
+    def _commits(self, lines: DataFrame) -> DataFrame:
+        # counted by key before the name is joined
+        counted = lines.groupBy("l_partkey", month_label(F.col("l_shipdate")).alias("year_month")).agg(
+            F.count("*").alias("commit_count")
         )
         return counted.join(self.repos, F.col("l_partkey") == F.col("p_partkey")).select(
             "repo_name", "year_month", "commit_count"
@@ -84,7 +86,9 @@ class Inputs:
 
     @cached_property
     def activity(self) -> DataFrame:
-        return clean.clean_activity(self.commits_monthly, CUTOFF)
+        # the cutoff as a time range as well: only that reaches the statistics of the raw log
+        lines = extract.scan_months(self.table("lineitem"), "l_shipdate", None, CUTOFF)
+        return clean.clean_activity(self._commits(lines), CUTOFF)
 
     @cached_property
     def enriched(self) -> DataFrame:
@@ -121,10 +125,16 @@ class Inputs:
 
     @cached_property
     def developer_repos(self) -> DataFrame:
-        return (
-            self.pushes.groupBy(F.col("login").alias("developer_email"), "repo_name", year_label(F.col("created_at")).alias("year"))
+        # whole numbers are shuffled and counted; names are joined to what is left
+        counted = (
+            self.table("lineitem")
+            .join(self.table("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+            .groupBy("o_custkey", "l_partkey", year_label(F.col("o_orderdate")).alias("year"))
             .agg(F.count("*").alias("commit_count"))
         )
+        return counted.join(self.repos, F.col("l_partkey") == F.col("p_partkey")).select(
+            F.concat(F.lit("Customer-"), F.col("o_custkey")).alias("developer_email"), "repo_name", "year", "commit_count"
+        )
 
     @cached_property
     def actor_facts(self) -> DataFrame:
