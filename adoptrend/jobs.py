@@ -1,6 +1,6 @@
 """The batch jobs: raw tables in, result tables out.
 
-    spark-submit adoptrend/jobs.py all --base hdfs:///tech-trends --k 6 --top-n 25000
+    spark-submit adoptrend/jobs.py all --base hdfs:///activity --k 6 --top-n 25000
 
 Raw tables are Parquet folders under ``<base>/raw``: languages, commits, migrations, developers.
 Results are Parquet folders under ``<base>/processed`` and, for the dashboard, JSON under ``--out``.

@@ -1,7 +1,7 @@
 """Weighted betweenness centrality by joins, for all sources at once.
 
 State is keyed by (source, vertex) and spreads over the cluster by that key; only pairs that
-are connected exist. Weights are read as distances, as the reference's libraries do;
+are connected exist. Weights are read as distances, as graph libraries do;
 ``weight_mode="inverse"`` reads them as strengths.
 """
 

@@ -44,27 +44,32 @@ def modularity(labels: DataFrame, edges: DataFrame, hub_edges: int = HEAVY_ROWS)
     )
 
 
+def _with_strength(edges: DataFrame, state: DataFrame, hub_edges: int) -> SplitEdges:
+    """Edges that also know the strength ``k`` of the vertex they lead to, which holds for a level."""
+    strengths = state.select(F.col("id").alias("dst"), "k")
+    return SplitEdges(edges.join(strengths, "dst"), hub_edges, carry=("k",))
+
+
 def _best_moves(state: DataFrame, links: SplitEdges, total: float, movers: int, turn: int, seed: int):
     """One round. ``state(id, k, inner, community)`` gains ``best``; also the modularity before it."""
     totals = state.groupBy("community").agg(F.sum("k").alias("_tot"))
     offers = (
         links.send(state, "community")
-        .select(F.col("dst").alias("id"), "community", "w")
+        .select(F.col("dst").alias("id"), "community", "w", "k", F.lit(0.0).alias("inner"), F.lit(False).alias("_stays"))
         # staying is always on offer, also to a vertex without a neighbour in its own community
-        .unionByName(state.select("id", "community", F.lit(0.0).alias("w")))
+        .unionByName(state.select("id", "community", F.lit(0.0).alias("w"), "k", "inner", F.lit(True).alias("_stays")))
         .groupBy("id", "community")
-        .agg(F.sum("w").alias("_to"))
+        .agg(F.sum("w").alias("_to"), F.max("k").alias("k"), F.max("inner").alias("inner"), F.max("_stays").alias("_stays"))
         .join(totals, "community")
-        .join(state.select("id", "k", "inner", F.col("community").alias("_own")), "id")
     )
-    stays = F.col("community") == F.col("_own")
+    stays = F.col("_stays")
     rest = F.col("_tot") - F.when(stays, F.col("k")).otherwise(0.0)
     gain = F.col("_to") / total - F.col("k") * rest / (total * total)
     offers = offers.withColumn("_gain", F.round(gain, 15))
     chosen = offers.groupBy("id").agg(
-        F.first("k").alias("k"),
-        F.first("inner").alias("inner"),
-        F.first("_own").alias("community"),
+        F.max("k").alias("k"),
+        F.max("inner").alias("inner"),
+        F.max(F.when(stays, F.col("community"))).alias("community"),
         F.max(F.struct(F.col("_gain"), (-F.col("community")).alias("_minus"))).alias("_top"),
         F.max(F.when(stays, F.col("_gain"))).alias("_stay"),
         F.max(F.when(stays, F.col("_to"))).alias("_inside"),
@@ -119,8 +124,8 @@ def communities(
     edges: DataFrame,
     max_rounds: int = 20,
     max_levels: int = 10,
-    round_gain: float = 0.015,
-    level_gain: float = 0.005,
+    round_gain: float = 0.005,
+    level_gain: float = 0.002,
     seed: int = SEED,
     hub_edges: int = HEAVY_ROWS,
 ) -> DataFrame:
@@ -128,16 +133,17 @@ def communities(
     numbered = cut(global_rank(vertices.select("id"), ["id"], "node"))
     ends = symmetric(edges).join(numbered.select(F.col("id").alias("src"), F.col("node").alias("_s")), "src")
     ends = ends.join(numbered.select(F.col("id").alias("dst"), F.col("node").alias("_d")), "dst")
-    links = SplitEdges(ends.select(F.col("_s").alias("src"), F.col("_d").alias("dst"), "w"), hub_edges)
+    ends = cut(ends.select(F.col("_s").alias("src"), F.col("_d").alias("dst"), F.col("w").cast("double").alias("w")))
     members = numbered.select("id", "node")
 
-    strength = links.edges.groupBy(F.col("src").alias("id")).agg(F.sum("w").alias("k"))
+    strength = ends.groupBy(F.col("src").alias("id")).agg(F.sum("w").alias("k"))
     state, seen = settle(
         numbered.select(F.col("node").alias("id"))
         .join(strength, "id", "left")
         .select("id", F.coalesce("k", F.lit(0.0)).alias("k"), F.lit(0.0).alias("inner"), F.col("id").alias("community")),
         total=F.sum("k"),
     )
+    links = _with_strength(ends, state, hub_edges)
     total = seen["total"]
     quality = None
     for _ in range(max_levels if total else 0):
@@ -178,7 +184,7 @@ def communities(
         links.release()
         before = state
         state, seen = settle(merged, n=F.count(F.lit(1)))
-        links = SplitEdges(crossing.where(F.col("src") != F.col("dst")), hub_edges)
+        links = _with_strength(crossing.where(F.col("src") != F.col("dst")), state, hub_edges)
         if not links.total or seen["n"] == before.count():
             break
 

@@ -39,10 +39,11 @@ class SplitEdges:
 
     The layout is cached, so a round moves only what the vertices send; a lost executor's share
     is rebuilt from the written edges. A source with very many edges is split into parts.
+    ``carry`` names further columns of the edges to keep.
     """
 
-    def __init__(self, edges: DataFrame, least: int = HEAVY_ROWS):
-        written = cut(edges.select("src", "dst", F.col("w").cast("double").alias("w")))
+    def __init__(self, edges: DataFrame, least: int = HEAVY_ROWS, carry: tuple[str, ...] = ()):
+        written = cut(edges.select("src", "dst", F.col("w").cast("double").alias("w"), *carry))
         self.total = written.count()
         self.heavy = None
         if self.total > least:

@@ -46,14 +46,13 @@ def shared_dir(spark: SparkSession) -> str:
 
     Only a local master, where driver and executors are one process, gets a folder of its own.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if named:
         return named
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
+    if not (context.master == "local" or context.master.startswith("local[")):
         raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="adoptrend-"))
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="adoptrend-"))
     return context.getCheckpointDir()
 
 

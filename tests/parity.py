@@ -37,6 +37,10 @@ def table(columns, rows):
     return [columns[i] for i in order], sorted((tuple(plain(r[i]) for i in order) for r in rows), key=repr)
 
 
+# Spark type -> DuckDB type
+TYPES = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
+
+
 def compare(spark, connection, name: str, folder: str) -> tuple[str, str]:
     start = time.time()
     df = QUERIES[name](spark, folder)
@@ -50,6 +54,10 @@ def compare(spark, connection, name: str, folder: str) -> tuple[str, str]:
     note = f"{len(left[1])} rows, {took:.1f}s, sql {time.time() - start:.1f}s"
     if left[0] != right[0]:
         return "COLUMNS", f"{left[0]} / {right[0]}"
+    kinds = {d[0]: str(d[1]) for d in result.description}
+    other = {c: (k, kinds[c]) for c, k in df.dtypes if TYPES.get(k) != kinds[c]}
+    if other:
+        return "TYPES", str(other)
     if len(left[1]) != len(right[1]):
         return "COUNT", f"{len(left[1])} / {len(right[1])}"
     wrong = [(a, b) for a, b in zip(left[1], right[1]) if a != b or [type(x) for x in a] != [type(x) for x in b]]
