@@ -69,7 +69,7 @@ class Job:
 
     def developers(self, top_n: int = TOP_ACTORS) -> None:
         facts = cut(actors.clean_actor_edges(self.raw("developers")))
-        chosen = cut(actors.top_actors(actors.actor_stats(facts), top_n))
+        chosen = cut(actors.top_actors(cut(actors.actor_stats(facts)), top_n))
         pairs = actors.co_edges(actors.hubless(actors.membership(facts, chosen)))
         graph = cut(pairs.select(F.col("dev_a").alias("src"), F.col("dev_b").alias("dst"), F.col("shared_repos").alias("w")))
         vertices = chosen.select(F.col("dev_id").alias("id"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from adoptrend.functions.fixed import (
@@ -41,8 +41,22 @@ def actor_stats(edges: DataFrame, min_repos: int = MIN_REPOS, max_repos: int = M
 
 
 def top_actors(stats: DataFrame, n: int = TOP_ACTORS) -> DataFrame:
-    """The ``n`` broadest actors, ties by id."""
-    return stats.orderBy(F.desc("distinct_repos"), "dev_id").limit(n)
+    """The ``n`` broadest actors, ties by id.
+
+    Counting actors per breadth (a few thousand values at most) first gives the breadth of the
+    n-th actor, so that only actors at least that broad are sorted. ``stats`` is read twice.
+    """
+    per_breadth = stats.groupBy("distinct_repos").agg(F.count("*").alias("_n"))
+    broader = Window.orderBy(F.desc("distinct_repos")).rowsBetween(Window.unboundedPreceding, -1)
+    least = (
+        per_breadth.withColumn("_before", F.coalesce(F.sum("_n").over(broader), F.lit(0)))
+        .where(F.col("_before") < n)
+        .agg(F.min("distinct_repos"))
+        .scalar()
+    )
+    return (
+        stats.where(F.col("distinct_repos") >= least).orderBy(F.desc("distinct_repos"), "dev_id").limit(n)
+    )
 
 
 def membership(edges: DataFrame, actors: DataFrame) -> DataFrame:

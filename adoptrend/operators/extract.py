@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -53,9 +54,18 @@ def scan_complete_months(df: DataFrame, ts: str, asof: date) -> DataFrame:
     return df.where(F.col(ts) < _bound(df, ts, asof.replace(day=1)))
 
 
-def sample_months(df: DataFrame, ts: str, months: Sequence[int] = SAMPLED_MONTHS) -> DataFrame:
-    """Rows of the given calendar months of every year."""
-    return df.where(F.month(ts).isin(*months))
+def sample_months(
+    df: DataFrame, ts: str, months: Sequence[int] = SAMPLED_MONTHS, years: Sequence[int] | None = None
+) -> DataFrame:
+    """Rows of the given calendar months of every year.
+
+    With the ``years`` named, the months become time ranges that skip files and row groups.
+    """
+    if years is None:
+        return df.where(F.month(ts).isin(*months))
+    starts = [date(y, m, 1) for y in years for m in months]
+    ranges = [(F.col(ts) >= _bound(df, ts, s)) & (F.col(ts) < _bound(df, ts, _following(s))) for s in starts]
+    return df.where(reduce(lambda a, b: a | b, ranges))
 
 
 def sample_hash(df: DataFrame, key: str, share: float) -> DataFrame:

@@ -30,9 +30,12 @@ def scan_event_range(t: Inputs) -> DataFrame:
     return _line(extract.scan_months(t.table("lineitem"), "l_shipdate", "199706", "199805"))
 
 
-@query("scan_calendar_sample", f"SELECT {LINE_SQL} FROM lineitem WHERE month(l_shipdate) IN (4, 8, 12)")
+@query(
+    "scan_calendar_sample",
+    f"SELECT {LINE_SQL} FROM lineitem WHERE month(l_shipdate) IN (4, 8, 12) AND year(l_shipdate) BETWEEN 1996 AND 2001",
+)
 def scan_calendar_sample(t: Inputs) -> DataFrame:
-    return _line(extract.sample_months(t.table("lineitem"), "l_shipdate"))
+    return _line(extract.sample_months(t.table("lineitem"), "l_shipdate", years=range(1996, 2002)))
 
 
 @query(

@@ -65,7 +65,7 @@ def degree_histogram(t: Inputs) -> DataFrame:
     with_views("actor_stats", body=histogram_sql("log10(total_commits + CAST(1e-10 AS DOUBLE))", "actor_stats", 80)),
 )
 def commits_histogram_log(t: Inputs) -> DataFrame:
-    return rounded(serving.histogram(cut(t.actor_stats), F.log10(F.col("total_commits") + F.lit(1e-10)), 80), "from_value")
+    return rounded(serving.histogram(t.actor_stats, F.log10(F.col("total_commits") + F.lit(1e-10)), 80), "from_value")
 
 
 @query(
@@ -82,7 +82,7 @@ def commits_histogram_log(t: Inputs) -> DataFrame:
     ),
 )
 def describe_actors(t: Inputs) -> DataFrame:
-    stats = cut(t.actor_stats)
+    stats = t.actor_stats
     return rounded(
         serving.describe(stats, ["distinct_repos", "total_commits"]), "mean", "sd", "q25", "q50", "q75"
     )

@@ -125,10 +125,13 @@ class Inputs:
 
     @cached_property
     def developer_repos(self) -> DataFrame:
+        return self._developer_repos(self.table("orders"))
+
+    def _developer_repos(self, orders: DataFrame) -> DataFrame:
         # whole numbers are shuffled and counted; names are joined to what is left
         counted = (
             self.table("lineitem")
-            .join(self.table("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+            .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
             .groupBy("o_custkey", "l_partkey", year_label(F.col("o_orderdate")).alias("year"))
             .agg(F.count("*").alias("commit_count"))
         )
@@ -138,11 +141,12 @@ class Inputs:
 
     @cached_property
     def actor_facts(self) -> DataFrame:
-        return cut(actors.clean_actor_edges(self.developer_repos, last_year=YEAR))
+        orders = extract.scan_months(self.table("orders"), "o_orderdate", None, f"{YEAR}-12")
+        return cut(actors.clean_actor_edges(self._developer_repos(orders), last_year=YEAR))
 
     @cached_property
     def actor_stats(self) -> DataFrame:
-        return actors.actor_stats(self.actor_facts, *REPOS)
+        return cut(actors.actor_stats(self.actor_facts, *REPOS))
 
     @cached_property
     def top_actors(self) -> DataFrame:

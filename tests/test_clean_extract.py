@@ -120,6 +120,8 @@ def test_scans(spark):
     assert [r.i for r in extract.scan_months(df, "ts", "202004", "202006").collect()] == [1, 2]
     assert [r.i for r in extract.scan_complete_months(df, "ts", date(2020, 6, 30)).collect()] == [0, 1]
     assert [r.i for r in extract.sample_months(df, "ts").collect()] == [1]
+    assert [r.i for r in extract.sample_months(df, "ts", (4, 6), years=(2019, 2020)).collect()] == [1, 2]
+    assert [r.i for r in extract.scan_months(df, "ts", None, "2020-03").collect()] == [0]
     assert extract.scan_months(df, "ts", "202012", "202012").count() == 0
 
 

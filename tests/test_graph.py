@@ -212,3 +212,5 @@ def test_co_edges(spark, rows):
     # a repository shared in two years counts once, and one touched in different years not at all
     assert rows(actors.co_edges(members)) == [("a", "b", 1), ("h0", "h1", 1)]
     assert rows(actors.top_actors(stats, 2), "dev_id", "distinct_repos") == [("a", 2), ("h0", 2)]
+    assert rows(actors.top_actors(stats, 4), "dev_id") == [("a",), ("b",), ("h0",), ("h1",)]
+    assert actors.top_actors(stats, 0).count() == 0 and actors.top_actors(stats, 99).count() == stats.count()
