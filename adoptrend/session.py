@@ -71,6 +71,15 @@ def drop_scratch(spark: SparkSession) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """Rows of a plain scan over all cores, where the files have fewer splits than there are cores.
+
+    For work that is long per row. A large input has splits enough and is not moved.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Materialise ``df`` as a table in the shared folder and read it back.
 

@@ -18,7 +18,7 @@ from adoptrend.functions.text import normalise
 from adoptrend.operators import actors, clean, extract, migration, serving, trends
 from adoptrend.operators.graph import core, rank
 from adoptrend.operators.ordered import previous_value
-from adoptrend.session import cut, tune
+from adoptrend.session import cut, spread, tune
 
 # thresholds that bite on the test tables; the library's defaults are the published ones
 CUTOFF = "2001-06"
@@ -226,7 +226,8 @@ class Inputs:
     def payloads(self) -> DataFrame:
         """Push payloads: every document an event, its lines the messages of its commits."""
         line = F.transform(F.split("text", "\n"), lambda m: F.struct(m.alias("message")))
-        return self.table("documents").select(
+        documents = spread(self.table("documents").select("doc_id", "lang", "text"))
+        return documents.select(
             "doc_id", "lang", F.to_json(F.struct(line.alias("commits"))).alias("payload")
         )
 
