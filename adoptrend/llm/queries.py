@@ -9,7 +9,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from adoptrend.llm import exact_dedup, mixing, packing, quality, simhash, toxicity
+from pyspark.sql import functions as F
+
+from adoptrend.llm import exact_dedup, mixing, packing, pii, quality, simhash, token_counts, topk, toxicity, url_filter
 from adoptrend.llm.base import table
 from adoptrend.session import tune
 
@@ -86,6 +88,98 @@ def op4_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_fingerprint().alias("fingerprint"), "component_id")
 
 
+@query
+def op5_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return token_counts.token_counts(table(spark, folder, "documents"))
+
+
+@query
+def op6_pii(spark: SparkSession, folder: str) -> DataFrame:
+    found = pii.personal_data(table(spark, folder, "documents"))
+    return found.select(
+        "doc_id",
+        *[pii.count_of(kind, "base").alias(f"n_{kind}") for kind in pii.KINDS],
+        F.sha2(pii.listed("base"), 256).alias("base_sha256"),
+        pii.listed("spans").alias("spans"),
+    )
+
+
+@query
+def op7_topk(spark: SparkSession, folder: str) -> DataFrame:
+    return topk.self_search(table(spark, folder, "embeddings"), every=50)
+
+
+SQL["op7_topk"] = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS x FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), e AS (
+  SELECT vec_id, unnest(x) AS x, generate_subscripts(x, 1) AS i FROM v
+), s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, sum(q.x * c.x)::BIGINT AS score
+  FROM e q JOIN e c ON q.i = c.i AND q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0 GROUP BY ALL
+)
+SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank, vec_id, score
+FROM s QUALIFY rank <= 5
+"""
+
+
+@query
+def op8_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    return url_filter.judged(table(spark, folder, "pages"))
+
+
+SQL["op8_url_filter"] = r"""
+WITH p AS (
+  SELECT page_id,
+    translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', 1),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', 2) AS path
+  FROM pages
+), r AS (
+  SELECT *, CASE
+      WHEN ('.' || host) LIKE '%.example.net' AND path LIKE '/en/%' THEN 'example.net/en/'
+      WHEN ('.' || host) LIKE '%.example.com' AND path LIKE '/de/%' THEN 'example.com/de/'
+      WHEN ('.' || host) LIKE '%.org' AND path LIKE '/fr/%' THEN 'org/fr/'
+      WHEN ('.' || host) LIKE '%.net' AND path LIKE '/%' THEN 'net/' END AS rule,
+    list_transform(list_filter(string_split(path, '/'), lambda s: s <> ''), lambda s:
+      CASE WHEN regexp_matches(s, '^[0-9a-fA-F-]{8,}$') AND regexp_matches(s, '[0-9]') THEN '#'
+        ELSE regexp_replace(s, '[0-9]+', '0', 'g') END) AS segs
+  FROM p
+), f AS (
+  SELECT host, segs, count(*) AS n, count(rule) AS labelled,
+    count(*) FILTER (rule IN ('net/', 'example.com/de/')) AS bad
+  FROM r GROUP BY host, segs
+), x AS (
+  SELECT host, segs, n, labelled, bad, unnest(segs) AS seg, generate_subscripts(segs, 1) AS i FROM f
+), b AS (
+  SELECT host, segs[1 : i - 1] AS above, seg, sum(n) AS n, sum(labelled) AS labelled, sum(bad) AS bad
+  FROM x GROUP BY ALL
+), o AS (
+  SELECT host, above, count(*) AS branches, sum(n) AS pages, sum(bad) / greatest(sum(labelled), 1) AS share
+  FROM b GROUP BY ALL
+), m AS (
+  SELECT b.host, b.above, b.seg, CASE
+      WHEN branches >= 8 AND branches > 0.5::DOUBLE * pages THEN '*'
+      WHEN labelled > 0 AND abs(bad - labelled * share) <= 2.0::DOUBLE * sqrt(labelled * share * (1 - share)) THEN '+'
+      ELSE seg END AS name
+  FROM b JOIN o ON b.host = o.host AND b.above = o.above
+), t AS (
+  SELECT x.host, x.segs, list(m.name ORDER BY x.i) AS template
+  FROM x JOIN m ON x.host = m.host AND x.segs[1 : x.i - 1] = m.above AND x.seg = m.seg GROUP BY ALL
+), w AS (
+  SELECT f.*, coalesce(t.template, []) AS template FROM f LEFT JOIN t ON f.host = t.host AND f.segs = t.segs
+), u AS (
+  SELECT *, (sum(bad) OVER same + 0.2::DOUBLE) / (sum(labelled) OVER same + 2.0::DOUBLE) AS purity
+  FROM w WINDOW same AS (PARTITION BY host, template)
+)
+SELECT r.page_id, r.host, r.path, r.rule, CASE
+    WHEN r.rule IN ('net/', 'example.com/de/') THEN 'block' WHEN r.rule IS NOT NULL THEN 'allow'
+    WHEN u.purity > 0.5 THEN 'block' ELSE 'allow' END AS verdict
+FROM r JOIN u ON r.host = u.host AND r.segs = u.segs
+"""
+
+
 @query
 def op9_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.scored(table(spark, folder, "documents"), table(spark, folder, "labels"))

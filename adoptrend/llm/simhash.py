@@ -172,8 +172,10 @@ def near_duplicates(
     told = linked.join(distinct, F.col("id") == F.col("fp")).select("id", "component", "least")
     least = told.groupBy("component").agg(F.min("least").alias("component_id"))
     moved = cut(told.join(least, "component").select("id", F.col("component_id")))
-    of = distinct.join(moved, F.col("fp") == F.col("id"), "left").select(
-        "fp", F.when(F.col("id").isNull(), F.col("least")).otherwise(F.col("component_id")).alias("component_id")
+    of = cut(
+        distinct.join(moved, F.col("fp") == F.col("id"), "left").select(
+            "fp", F.when(F.col("id").isNull(), F.col("least")).otherwise(F.col("component_id")).alias("component_id")
+        )
     )
     return marked.join(of, "fp").select("doc_id", "fp", "component_id")
 
