@@ -82,7 +82,8 @@ def duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", code
     row in a join whose large partitions can be split.
     """
     listed = recipes(docs, text, doc_id, code)
-    groups = (
+    # written, so that the join below shuffles both sides itself and a large group's rows can be split
+    groups = cut(
         listed.groupBy(F.col("recipe").alias("of"))
         .agg(
             F.count("*").alias("n"),
