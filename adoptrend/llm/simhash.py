@@ -141,7 +141,8 @@ def links(distinct: DataFrame, distance: int = DISTANCE) -> DataFrame:
             kept = []
             for same, left, right in zip(batch["same"], batch["left"], batch["right"], strict=True):
                 a, b = np.asarray(left, np.int64), np.asarray(right, np.int64)
-                near = np.bitwise_count(a[:, None] ^ b[None, :]) <= distance
+                # unsigned: numpy counts the bits of a signed number's absolute value
+                near = np.bitwise_count(a.view(np.uint64)[:, None] ^ b.view(np.uint64)[None, :]) <= distance
                 if same:
                     near = np.triu(near, 1)
                 for i, j in zip(*np.nonzero(near), strict=True):
