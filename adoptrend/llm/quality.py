@@ -27,7 +27,7 @@ from adoptrend.llm.base import held_out, learned_rows, small_batches
 LABELLED = 8192
 FEATURES = 2048
 LATENT = 32
-NEIGHBOURS = 15
+NEIGHBOURS = 5
 CUT = 0.3
 # the vote of the overall share of label 1, in units of one neighbour at similarity 1
 PRIOR = 1.0

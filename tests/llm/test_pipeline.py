@@ -12,7 +12,7 @@ from adoptrend.session import cut
 from tests.llm.test_packing import check
 from tests.parity import compare, oracle
 
-FOLDER = "/root/testdata/sf0.001"
+FOLDER = "/root/testdata/sf0.01"
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="test tables are absent")
 
 
@@ -59,6 +59,5 @@ def test_registered():
 
 @pytest.mark.parametrize("name", sorted(queries.SQL))
 def test_agrees_with_sql(spark, name):
-    folder = FOLDER.replace("0.001", "0.01")
-    verdict, note = compare(spark, oracle(folder), name, folder, contract.queries(), contract.oracle_sql())
+    verdict, note = compare(spark, oracle(FOLDER), name, FOLDER, contract.queries(), contract.oracle_sql())
     assert verdict == "ok", note
