@@ -7,6 +7,8 @@ vertices may move; a round that lowers modularity is undone and the share halved
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,8 +16,8 @@ from adoptrend.functions.fixed import SEED
 from adoptrend.operators.graph.components import components
 from adoptrend.operators.graph.core import SplitEdges, settle, symmetric
 from adoptrend.operators.ordered import global_rank
-from adoptrend.operators.skew import HEAVY_ROWS
-from adoptrend.session import cut
+from adoptrend.operators.skew import HEAVY_ROWS, HEAVY_SHARE
+from adoptrend.session import cut, discard
 
 GAIN = 1e-12
 
@@ -37,11 +39,15 @@ def modularity(labels: DataFrame, edges: DataFrame, hub_edges: int = HEAVY_ROWS)
     summed = per_community.agg(
         F.sum("inside").alias("inside"), F.sum(F.col("deg") * F.col("deg")).alias("squares"), F.sum("deg").alias("total")
     )
-    return summed.select(
-        (
-            F.try_divide("inside", "total") - F.try_divide("squares", F.col("total") * F.col("total"))
-        ).alias("modularity")
+    done = cut(
+        summed.select(
+            (
+                F.try_divide("inside", "total") - F.try_divide("squares", F.col("total") * F.col("total"))
+            ).alias("modularity")
+        )
     )
+    links.release()
+    return done
 
 
 def _with_strength(edges: DataFrame, state: DataFrame, hub_edges: int) -> SplitEdges:
@@ -50,23 +56,36 @@ def _with_strength(edges: DataFrame, state: DataFrame, hub_edges: int) -> SplitE
     return SplitEdges(edges.join(strengths, "dst"), hub_edges, carry=("k",))
 
 
-def _best_moves(state: DataFrame, links: SplitEdges, total: float, movers: int, turn: int, seed: int):
+def _best_moves(
+    state: DataFrame, links: SplitEdges, total: float, movers: int, turn: int, seed: int, hub_edges: int
+):
     """One round. ``state(id, k, inner, community)`` gains ``best``; also the modularity before it."""
-    totals = state.groupBy("community").agg(F.sum("k").alias("_tot"))
+    # one row per community; late in a run one of them may hold a third of all vertices, and such
+    # communities, HEAVY_SHARE at most, bring their total by broadcast
+    totals, seen = settle(
+        state.groupBy("community").agg(F.sum("k").alias("_tot"), F.count("*").alias("_rows")), n=F.sum("_rows")
+    )
+    limit = max(hub_edges, -(-(seen["n"] or 0) // HEAVY_SHARE))
+    heavy, light = totals.where(F.col("_rows") > limit).drop("_rows"), totals.where(F.col("_rows") <= limit).drop("_rows")
+    told = state.join(F.broadcast(heavy), "community").unionByName(
+        state.join(F.broadcast(heavy.select("community")), "community", "left_anti").join(light, "community")
+    )
+    none = F.lit(0.0)
     offers = (
-        links.send(state, "community")
-        .select(F.col("dst").alias("id"), "community", "w", "k", F.lit(0.0).alias("inner"), F.lit(False).alias("_stays"))
+        links.send(told, "community", "_tot")
+        .select(F.col("dst").alias("id"), "community", "w", "k", none.alias("inner"), "_tot", F.lit(False).alias("_stays"))
         # staying is always on offer, also to a vertex without a neighbour in its own community
-        .unionByName(state.select("id", "community", F.lit(0.0).alias("w"), "k", "inner", F.lit(True).alias("_stays")))
+        .unionByName(told.select("id", "community", none.alias("w"), "k", "inner", "_tot", F.lit(True).alias("_stays")))
         .groupBy("id", "community")
-        .agg(F.sum("w").alias("_to"), F.max("k").alias("k"), F.max("inner").alias("inner"), F.max("_stays").alias("_stays"))
-        .join(totals, "community")
+        .agg(
+            F.sum("w").alias("_to"), F.max("k").alias("k"), F.max("inner").alias("inner"),
+            F.max("_tot").alias("_tot"), F.max("_stays").alias("_stays"),
+        )
     )
     stays = F.col("_stays")
     rest = F.col("_tot") - F.when(stays, F.col("k")).otherwise(0.0)
     gain = F.col("_to") / total - F.col("k") * rest / (total * total)
-    offers = offers.withColumn("_gain", F.round(gain, 15))
-    chosen = offers.groupBy("id").agg(
+    chosen = offers.withColumn("_gain", F.round(gain, 15)).groupBy("id").agg(
         F.max("k").alias("k"),
         F.max("inner").alias("inner"),
         F.max(F.when(stays, F.col("community"))).alias("community"),
@@ -94,17 +113,20 @@ def _best_moves(state: DataFrame, links: SplitEdges, total: float, movers: int,
         squares=F.sum(F.col("k") * F.col("_own_tot")),
     )
     quality = seen["inside"] / total - seen["squares"] / (total * total)
+    discard(totals)
     return done, seen["wanting"], quality
 
 
-def _local_moves(state: DataFrame, links: SplitEdges, total: float, max_rounds: int, round_gain: float, seed: int):
-    """Rounds of moves until they bring little; returns labels (id, k, inner, community) and modularity.
+def _local_moves(
+    state: DataFrame, links: SplitEdges, total: float, max_rounds: int, round_gain: float, seed: int, hub_edges: int
+):
+    """Rounds of moves until no vertex wants to move; returns labels (id, k, inner, community) and modularity.
 
-    What a level leaves undone, the next and smaller level does at less cost.
+    A positive ``round_gain`` ends earlier, once a round raises modularity by a smaller share.
     """
     movers, best_quality, best = 2, None, None
     for turn in range(max_rounds):
-        moved, wanting, quality = _best_moves(state, links, total, movers, turn, seed)
+        moved, wanting, quality = _best_moves(state, links, total, movers, turn, seed, hub_edges)
         if best_quality is None or quality >= best_quality:
             little = best_quality is not None and 0 < quality - best_quality < round_gain * abs(quality)
             best_quality, best = quality, state
@@ -114,22 +136,28 @@ def _local_moves(state: DataFrame, links: SplitEdges, total: float, max_rounds:
         else:
             # the moves of the round before collided: take them back, and let fewer vertices move
             movers *= 2
-            state, _, _ = _best_moves(best, links, total, movers, turn + max_rounds, seed)
+            state, _, _ = _best_moves(best, links, total, movers, turn + max_rounds, seed, hub_edges)
             state = state.select("id", "k", "inner", F.col("best").alias("community"))
+    else:
+        warnings.warn(f"communities: {wanting} vertices still want to move after {max_rounds} rounds", stacklevel=3)
     return best, best_quality
 
 
 def communities(
     vertices: DataFrame,
     edges: DataFrame,
-    max_rounds: int = 20,
-    max_levels: int = 10,
-    round_gain: float = 0.005,
-    level_gain: float = 0.002,
+    max_rounds: int = 200,
+    max_levels: int = 100,
+    round_gain: float = 0.0,
+    level_gain: float = 0.0,
     seed: int = SEED,
     hub_edges: int = HEAVY_ROWS,
 ) -> DataFrame:
-    """``(id, community_id)``: connected communities, 0 the largest, ties by the smallest id."""
+    """``(id, community_id)``: connected communities, 0 the largest, ties by the smallest id.
+
+    Levels end when merging raises modularity no more. A run that ends at ``max_rounds`` or
+    ``max_levels`` instead says so in a warning.
+    """
     numbered = cut(global_rank(vertices.select("id"), ["id"], "node"))
     ends = symmetric(edges).join(numbered.select(F.col("id").alias("src"), F.col("node").alias("_s")), "src")
     ends = ends.join(numbered.select(F.col("id").alias("dst"), F.col("node").alias("_d")), "dst")
@@ -147,7 +175,7 @@ def communities(
     total = seen["total"]
     quality = None
     for _ in range(max_levels if total else 0):
-        labels, reached = _local_moves(state, links, total, max_rounds, round_gain, seed)
+        labels, reached = _local_moves(state, links, total, max_rounds, round_gain, seed, hub_edges)
         if quality is not None and reached <= quality + max(GAIN, level_gain * abs(quality)):
             break
         quality = reached
@@ -187,6 +215,9 @@ def communities(
         links = _with_strength(crossing.where(F.col("src") != F.col("dst")), state, hub_edges)
         if not links.total or seen["n"] == before.count():
             break
+    else:
+        if total:
+            warnings.warn(f"communities: modularity still grows after {max_levels} levels", stacklevel=2)
 
     links.release()
     sized = members.groupBy("node").agg(F.count("*").alias("_size"), F.min("id").alias("_first"))

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from adoptrend.operators.graph.core import SplitEdges, settle, symmetric
+from adoptrend.operators.graph.core import SplitEdges, named, numbered, renumbered, settle, symmetric
 from adoptrend.operators.skew import HEAVY_ROWS, lookup
-from adoptrend.session import cut
+from adoptrend.session import cut, discard
 
 # pointer steps per round
 JUMPS = 3
@@ -22,8 +22,11 @@ def components(vertices: DataFrame, edges: DataFrame, max_rounds: int = 100, hub
     number of vertices, also on long paths. Late in the run most vertices share one label; the
     lookups treat such a label apart.
     """
-    links = SplitEdges(symmetric(edges), hub_edges)
-    state, seen = settle(vertices.select("id", F.col("id").alias("component")), n=F.count(F.lit(1)))
+    numbers = numbered(vertices)
+    links = SplitEdges(symmetric(renumbered(edges, numbers)), hub_edges)
+    state, seen = settle(
+        numbers.select(F.col("node").alias("id"), F.col("node").alias("component")), n=F.count(F.lit(1))
+    )
     n = seen["n"]
     for _ in range(max_rounds):
         heard = links.send(state, "component").select(F.col("dst").alias("id"), F.col("component").alias("_near"))
@@ -40,19 +43,22 @@ def components(vertices: DataFrame, edges: DataFrame, max_rounds: int = 100, hub
         )
         if not seen["moving"]:
             break
-        onward = pointers.select(F.col("_tree").alias("_to"), F.col("_to").alias("_further"))
+        first = pointers
+        onward = first.select(F.col("_tree").alias("_to"), F.col("_to").alias("_further"))
         for _ in range(JUMPS):
-            pointers = lookup(pointers, onward, "_to", seen["trees"], hub_edges).select(
-                "_tree", F.col("_further").alias("_to")
-            )
-            if seen["trees"] > hub_edges:
-                pointers = cut(pointers)
-        moved = lookup(
-            state.withColumnRenamed("component", "_tree"), pointers, "_tree", n, hub_edges
-        )
-        state = cut(moved.select("id", F.col("_to").alias("component")))
+            stepped = cut(lookup(pointers, onward, "_to", seen["trees"], hub_edges).select("_tree", F.col("_further").alias("_to")))
+            if pointers is not first:
+                discard(pointers)
+            pointers = stepped
+        moved = lookup(state.withColumnRenamed("component", "_tree"), pointers, "_tree", n, hub_edges)
+        before, state = state, cut(moved.select("id", F.col("_to").alias("component")))
+        discard(before, first, pointers)
     else:
         links.release()
         raise RuntimeError(f"components still changing after {max_rounds} rounds")
     links.release()
-    return state
+    if dict(vertices.dtypes)["id"] == "bigint":
+        return state
+    least = numbers.select(F.col("node").alias("component"), F.col("id").alias("_least"))
+    labelled = lookup(state, least, "component", n, hub_edges).select("id", F.col("_least").alias("component"))
+    return named(labelled, numbers, "component")

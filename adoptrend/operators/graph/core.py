@@ -10,12 +10,31 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from adoptrend.operators.ordered import global_rank
 from adoptrend.operators.skew import HEAVY_ROWS, heavy_keys
-from adoptrend.session import cut
+from adoptrend.session import cut, discard
 
 
-# a graph below this size is sent to by broadcast, and gains nothing from many parts
-FEW_EDGES = 1_000_000
+def numbered(vertices: DataFrame) -> DataFrame:
+    """``(id, node)``: vertices with numbers in the order of their ids; long ids are their own numbers."""
+    ids = vertices.select("id")
+    if dict(ids.dtypes)["id"] == "bigint":
+        return ids.withColumn("node", F.col("id"))
+    return cut(global_rank(ids, ["id"], "node"))
+
+
+def renumbered(edges: DataFrame, numbers: DataFrame) -> DataFrame:
+    """Edges between the numbers of their ends; an edge with an end that is no vertex falls away."""
+    src = numbers.select(F.col("id").alias("src"), F.col("node").alias("_s"))
+    dst = numbers.select(F.col("id").alias("dst"), F.col("node").alias("_d"))
+    return edges.join(src, "src").join(dst, "dst").select(
+        F.col("_s").alias("src"), F.col("_d").alias("dst"), F.col("w").cast("double").alias("w")
+    )
+
+
+def named(scores: DataFrame, numbers: DataFrame, *columns: str) -> DataFrame:
+    """Results by number back under the vertices' ids."""
+    return numbers.join(scores.withColumnRenamed("id", "node"), "node").select("id", *columns)
 
 
 def symmetric(edges: DataFrame) -> DataFrame:
@@ -43,34 +62,30 @@ class SplitEdges:
     """
 
     def __init__(self, edges: DataFrame, least: int = HEAVY_ROWS, carry: tuple[str, ...] = ()):
-        written = cut(edges.select("src", "dst", F.col("w").cast("double").alias("w"), *carry))
-        self.total = written.count()
-        self.heavy = None
-        if self.total > least:
-            heavy = cut(heavy_keys(written, "src", self.total, least))
-            self.heavy = heavy if heavy.count() else None
-        self.keys = ["src"] if self.heavy is None else ["src", "part"]
-        if self.heavy is not None:
-            part = F.pmod(F.xxhash64("dst"), F.coalesce("_parts", F.lit(1))).cast("int")
-            written = written.join(F.broadcast(self.heavy), "src", "left").withColumn("part", part).drop("_parts")
+        self.written, seen = settle(
+            edges.select("src", "dst", F.col("w").cast("double").alias("w"), *carry), total=F.count(F.lit(1))
+        )
+        self.total = seen["total"]
+        # HEAVY_SHARE rows at most, often none
+        self.heavy = cut(heavy_keys(self.written, "src", self.total, least))
+        self.keys = ["src", "part"]
+        part = F.pmod(F.xxhash64("dst"), F.coalesce("_parts", F.lit(1))).cast("int")
+        parted = self.written.join(F.broadcast(self.heavy), "src", "left").withColumn("part", part).drop("_parts")
         # as many parts as any other exchange has, so that the cached side of a join stays where it is
         n = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        if self.total < FEW_EDGES:
-            n = min(n, 8)
-        self.edges = written.repartition(n, *self.keys).persist(StorageLevel.MEMORY_AND_DISK)
+        self.edges = parted.repartition(n, *self.keys).persist(StorageLevel.MEMORY_AND_DISK)
 
     def send(self, state: DataFrame, *columns: str) -> DataFrame:
         """Join ``state(id, columns...)`` to the edges leaving each id."""
         sent = state.select(F.col("id").alias("src"), *columns)
-        if self.heavy is not None:
-            parts = F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1)
-            sent = (
-                sent.join(F.broadcast(self.heavy), "src", "left").withColumn("part", F.explode(parts)).drop("_parts")
-            )
+        parts = F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1)
+        sent = sent.join(F.broadcast(self.heavy), "src", "left").withColumn("part", F.explode(parts)).drop("_parts")
         return self.edges.join(sent, self.keys)
 
     def release(self) -> None:
+        """The edges, the layout and the heavy sources go; only written results may be left to read."""
         self.edges.unpersist()
+        discard(self.written, self.heavy)
 
 
 def out_weights(edges: DataFrame) -> DataFrame:

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from adoptrend.session import cut
+from adoptrend.session import cut, discard, held
 
 CHUNK = "_chunk"
 
@@ -25,8 +25,13 @@ def ordered_chunks(df: DataFrame, order: Sequence[str], chunks: int | None = Non
     The result is materialised, so that every later use sees the same borders.
     """
     columns = [F.col(c) for c in order]
+    # the borders are sampled before the rows move: without a written input all of it would run twice
+    df, mine = held(df)
     ranged = df.repartitionByRange(chunks, *columns) if chunks else df.repartitionByRange(*columns)
-    return cut(ranged.withColumn(CHUNK, F.spark_partition_id()))
+    done = cut(ranged.withColumn(CHUNK, F.spark_partition_id()))
+    if mine:
+        discard(df)
+    return done
 
 
 def running_total(df: DataFrame, order: Sequence[str], weight: str, out: str, chunks: int | None = None) -> DataFrame:
@@ -70,14 +75,17 @@ def previous_value(
     carried = (
         tails.withColumn("_carried", F.lag("_tail").over(across))
         .where(F.col("_carried").isNotNull())
-        .select(CHUNK, *keys, "_carried")
+        .select(F.col(CHUNK).alias("_in"), *[F.col(k).alias(f"_key_{k}") for k in keys], "_carried")
     )
+    same = F.col(CHUNK) == F.col("_in")
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_key_{k}"))
     return (
         ranged.withColumn("_position", F.row_number().over(inside))
         .withColumn("_within", F.lag(value).over(inside))
-        .join(F.broadcast(carried), [CHUNK, *keys], "left")
+        .join(F.broadcast(carried), same, "left")
         .withColumn(out, F.when(F.col("_position") == 1, F.col("_carried")).otherwise(F.col("_within")))
-        .drop("_position", "_within", "_carried", CHUNK)
+        .drop("_position", "_within", "_carried", CHUNK, "_in", *[f"_key_{k}" for k in keys])
     )
 
 

@@ -5,10 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from adoptrend.session import cut
+
 # A key is heavy when it has more than one row in HEAVY_SHARE. There can be no more than
-# HEAVY_SHARE such keys whatever the input, which bounds every broadcast below.
+# HEAVY_SHARE such keys whatever the input, which bounds every broadcast below. A key with no more
+# than HEAVY_ROWS rows is never worth a split.
 HEAVY_SHARE = 1000
-HEAVY_ROWS = 100_000
+HEAVY_ROWS = 1000
 
 
 def heavy_keys(df: DataFrame, key: str, total: int, least: int = HEAVY_ROWS) -> DataFrame:
@@ -26,11 +29,9 @@ def lookup(left: DataFrame, right: DataFrame, key: str, total: int, least: int =
     """Inner join of ``left``, of ``total`` rows, with a ``right`` side unique on ``key``.
 
     Rows of a heavy key meet their one partner through a broadcast of at most HEAVY_SHARE rows;
-    all others take the usual join. ``left`` is read twice and should be materialised.
+    all others take the usual join. ``left`` is read three times and should be materialised.
     """
-    if total <= least:
-        return left.join(right, key)
-    heavy = heavy_keys(left, key, total, least).select(key)
+    heavy = cut(heavy_keys(left, key, total, least).select(key))
     partners = right.join(F.broadcast(heavy), key, "left_semi")
     split = left.join(F.broadcast(partners), key)
     usual = left.join(F.broadcast(heavy), key, "left_anti").join(right, key)

@@ -9,8 +9,10 @@ from adoptrend.operators import actors, migration
 from adoptrend.operators.graph import betweenness as between
 from adoptrend.operators.graph import components as comps
 from adoptrend.operators.graph import community, core, rank
+from adoptrend.operators.ordered import global_rank
 from adoptrend.plans.registry import query
 from adoptrend.plans.trending import rounded
+from adoptrend.session import cut
 from adoptrend.sources.inputs import EDGE_WEIGHT, Inputs, with_views
 
 
@@ -57,7 +59,7 @@ PERIODS = (("full", None, None), ("early", None, 1995), ("mid", 1997, 1999), ("l
         extra={
             "edges": """SELECT from_tech, to_tech, CAST(sum(migration_count) AS BIGINT) AS migration_count,
                                count(DISTINCT year) AS years_active, min(year) AS first_year, max(year) AS last_year
-                        FROM (SELECT * FROM migration_signals WHERE migration_count >= 18) GROUP BY 1, 2"""
+                        FROM migration_signals GROUP BY 1, 2"""
         },
         body="""SELECT *, 'full' AS period FROM edges
                 UNION ALL SELECT *, 'early' FROM edges WHERE CAST(first_year AS INT) <= 1995
@@ -66,8 +68,7 @@ PERIODS = (("full", None, None), ("early", None, 1995), ("mid", 1997, 1999), ("l
     ),
 )
 def edges_by_period(t: Inputs) -> DataFrame:
-    strong = t.migration_signals.where(F.col("migration_count") >= 18)
-    return migration.edges_by_period(migration.edge_rollup(strong, 1), PERIODS)
+    return migration.edges_by_period(migration.edge_rollup(t.migration_signals, 1), PERIODS)
 
 
 @query("node_flow", with_views("node_flow", body="SELECT * FROM node_flow"))
@@ -160,6 +161,21 @@ def pagerank_directed(t: Inputs) -> DataFrame:
     return ranks.select(F.col("id").alias("tech"), F.round("pagerank", 8).alias("pagerank"))
 
 
+# 0.85 ** 150 is far below what eight decimals show
+@query(
+    "pagerank_converged",
+    with_views(
+        "migration_links",
+        "migration_vertices",
+        extra=pagerank_views("migration_vertices", "migration_links", 150),
+        body="SELECT id AS tech, round(r, 8) AS pagerank FROM ranks",
+    ),
+)
+def pagerank_converged(t: Inputs) -> DataFrame:
+    ranks = rank.pagerank(migration_vertices(t), t.migration_graph, directed=True, tol=1e-11)
+    return ranks.select(F.col("id").alias("tech"), F.round("pagerank", 8).alias("pagerank"))
+
+
 def migration_vertices(t: Inputs) -> DataFrame:
     return core.endpoints(t.migration_graph)
 
@@ -302,6 +318,69 @@ def betweenness_undirected(t: Inputs) -> DataFrame:
     return scores.select(F.col("id").alias("dev_id"), F.round("betweenness", 8).alias("betweenness"))
 
 
+# strengths near 100,000, read inversely: routes differ far behind the decimal point
+@query(
+    "betweenness_inverse",
+    with_views(
+        "migration_links",
+        "migration_vertices",
+        extra={
+            "strong": "SELECT src, dst, 1 / (100000 + w) AS w FROM migration_links",
+            **{
+                name: text.replace("WHERE b.d = a.d + w", "WHERE abs(b.d - a.d - w) <= 1e-12 * b.d")
+                for name, text in betweenness_views("migration_vertices", "strong", 8).items()
+            },
+        },
+        body="""SELECT id AS tech, round(coalesce(b, 0) / ((SELECT count(*) FROM migration_vertices) - 1)
+                       / ((SELECT count(*) FROM migration_vertices) - 2), 8) AS betweenness
+                FROM migration_vertices LEFT JOIN delta ON v = id""",
+    ),
+)
+def betweenness_inverse(t: Inputs) -> DataFrame:
+    strong = t.migration_graph.withColumn("w", F.lit(100_000.0) + F.col("w"))
+    scores = between.betweenness(migration_vertices(t), strong, directed=True, weight_mode="inverse")
+    return scores.select(F.col("id").alias("tech"), F.round("betweenness", 8).alias("betweenness"))
+
+
+def found_communities(t: Inputs) -> DataFrame:
+    return community.communities(t.actor_vertices, t.actor_graph)
+
+
 @query("communities")
 def communities(t: Inputs) -> DataFrame:
-    return community.communities(t.actor_vertices, t.actor_graph).withColumnRenamed("id", "dev_id")
+    return found_communities(t).withColumnRenamed("id", "dev_id")
+
+
+# labels are free to differ between implementations, so the SQL states what any good ones have
+@query(
+    "communities_check",
+    with_views(
+        "actor_vertices",
+        body="""SELECT count(*) AS members, true AS ids_by_size, true AS connected, true AS above_singletons,
+                       true AS above_components FROM actor_vertices""",
+    ),
+)
+def communities_check(t: Inputs) -> DataFrame:
+    found = cut(found_communities(t))
+    edges = t.actor_graph
+    sizes = found.groupBy("community_id").agg((-F.count("*")).alias("_smaller"))
+    placed = global_rank(sizes, ["_smaller", "community_id"], "_place")
+    # in order of falling size the ids run 0, 1, 2, ...
+    in_order = placed.where(F.col("_place") != F.col("community_id")).isEmpty()
+    ends = found.withColumnsRenamed({"id": "src", "community_id": "a"})
+    inner = edges.join(ends, "src").join(ends.withColumnsRenamed({"src": "dst", "a": "b"}), "dst").where("a = b")
+    parts = comps.components(t.actor_vertices, inner.select("src", "dst", "w"))
+    torn = found.join(parts, "id").groupBy("community_id").agg(F.countDistinct("component").alias("n")).where("n > 1")
+
+    def quality(labels: DataFrame) -> float:
+        return community.modularity(labels, edges).first()[0]
+
+    whole = comps.components(t.actor_vertices, edges).withColumnRenamed("component", "community")
+    reached = quality(found.withColumnRenamed("community_id", "community"))
+    return found.agg(F.count("*").alias("members")).select(
+        "members",
+        F.lit(in_order).alias("ids_by_size"),
+        F.lit(torn.isEmpty()).alias("connected"),
+        F.lit(reached >= quality(t.actor_vertices.withColumn("community", F.col("id"))) - 1e-9).alias("above_singletons"),
+        F.lit(reached >= quality(whole) - 1e-9).alias("above_components"),
+    )

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -18,6 +21,10 @@ RUNTIME = {
 }
 
 
+# where the tables that `cut` wrote lie, for as long as their DataFrames are in use
+_written: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
+
+
 def tune(spark: SparkSession) -> SparkSession:
     for key, value in RUNTIME.items():
         spark.conf.set(key, value)
@@ -52,7 +59,9 @@ def shared_dir(spark: SparkSession) -> str:
         return named
     if not (context.master == "local" or context.master.startswith("local[")):
         raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-    context.setCheckpointDir(tempfile.mkdtemp(prefix="adoptrend-"))
+    folder = tempfile.mkdtemp(prefix="adoptrend-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    context.setCheckpointDir(folder)
     return context.getCheckpointDir()
 
 
@@ -65,19 +74,14 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{_scratch(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def drop_scratch(spark: SparkSession) -> None:
-    """Delete all intermediate tables of this application; results read lazily from them are gone too."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(_scratch(spark))
+def _delete(spark: SparkSession, path: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(path)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def spread(scan: DataFrame) -> DataFrame:
-    """Rows of a plain scan over all cores, where the files have fewer splits than there are cores.
-
-    For work that is long per row. A large input has splits enough and is not moved.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete all intermediate tables of this application; results read lazily from them are gone too."""
+    _delete(spark, _scratch(spark))
 
 
 def cut(df: DataFrame) -> DataFrame:
@@ -89,4 +93,18 @@ def cut(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, "cut")
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    _written[table] = path
+    return table
+
+
+def held(df: DataFrame) -> tuple[DataFrame, bool]:
+    """``df`` as a table of ``cut``, and whether it had to be written for that."""
+    return (df, False) if df in _written else (cut(df), True)
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables of ``cut`` that nothing will read again, such as those of the round before."""
+    for table in tables:
+        if path := _written.pop(table, None):
+            _delete(table.sparkSession, path)
