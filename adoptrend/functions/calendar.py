@@ -14,8 +14,9 @@ def year_label(ts: Column) -> Column:
     return F.year(ts).cast("string")
 
 
-def month_start(label: Column) -> Column:
-    return F.to_date(F.concat(label, F.lit("-01")))
+def month_number(ts: Column) -> Column:
+    """Month as one whole number, 202406 for June 2024: the folder key of a month-partitioned log."""
+    return F.year(ts) * 100 + F.month(ts)
 
 
 def month_ordinal(label: Column) -> Column:

@@ -62,8 +62,12 @@ STRICT_PAYLOAD_FILTER = r"\b(?:migrat|replac|rewrite|switch|upgrad|drop|remov|sw
 STRICT_MESSAGE_FILTER = (
     r"\b(?:migrat|replac|rewrite|switch\w*\s+to|mov\w*\s+to|upgrad|drop\w*\s+from|remov\w*\s+from|swap\w*\s+with)\b"
 )
-STRICT_STEMS = ("migrat", "replac", "rewrite", "switch", "mov", "upgrad", "drop", "remov")
-STRICT_DIRECT_STEMS = ("switch", "mov", "migrat", "upgrad", "rewrite")
+STRICT_PATTERNS = {
+    "from_verb": r"(?:migrat\w*|replac\w*|rewrite\w*|switch\w*|mov\w*|upgrad\w*|drop\w*|remov\w*)[^.\n]{0,60}?\bfrom\b\s+([\w][\w\-\.]{1,29})",
+    "from_swap": r"\b(?:replac\w*|swap\w*)\s+([\w][\w\-\.]{1,29})\s+with\b",
+    "to_verb": r"(?:migrat\w*|replac\w*|rewrite\w*|switch\w*|mov\w*|upgrad\w*|drop\w*|remov\w*)[^.\n]{0,60}?\b(?:to|with|into)\b\s+([\w][\w\-\.]{1,29})",
+    "to_direct": r"\b(?:switch\w*|mov\w*|migrat\w*|upgrad\w*|rewrite\w*)\s+to\s+([\w][\w\-\.]{1,29})",
+}
 
 # fixed values: growth ratio from first to last month, above which a trajectory has the name
 TRAJECTORY_BOUNDS = ((20.0, "explosive"), (4.0, "strong"), (1.2, "stable"))
@@ -72,6 +76,7 @@ TRAJECTORY_ELSE = "declining"
 # fixed values: overlapping periods of the migration view (from year, to year)
 EDGE_PERIODS = (("full", None, None), ("early", None, 2018), ("mid", 2018, 2021), ("late", 2021, None))
 
+# fixed values: the features of a category, in the order of the stored centres
 FEATURES = (
     "avg_repo_growth",
     "commit_volatility",

@@ -30,9 +30,9 @@ def contains_pattern(text: Column, pattern: str) -> Column:
     return text.rlike(ascii_boundaries(pattern))
 
 
-def first_group(text: Column, pattern: str) -> Column:
-    """First capture of the first match, NULL when nothing matches."""
-    return F.nullif(F.regexp_extract(text, ascii_boundaries(pattern), 1), F.lit(""))
+def first_match(text: Column, pattern: str) -> Column:
+    """First capture of the first match, empty when nothing matches."""
+    return F.regexp_extract(text, ascii_boundaries(pattern), 1)
 
 
 def owner(entity: Column) -> Column:

@@ -15,15 +15,14 @@ from adoptrend.functions.fixed import (
     EXCLUDED_LABELS,
     MIGRATION_STEMS,
     SAMPLED_MONTHS,
-    STRICT_DIRECT_STEMS,
     STRICT_MESSAGE_FILTER,
+    STRICT_PATTERNS,
     STRICT_PAYLOAD_FILTER,
-    STRICT_STEMS,
     SWAP_STEMS,
     TOKEN,
     TOKEN_LENGTH,
 )
-from adoptrend.functions.text import contains_pattern, first_group, normalise, present
+from adoptrend.functions.text import contains_pattern, first_match, normalise, present
 
 
 def _first_of(shard: str) -> date:
@@ -71,10 +70,16 @@ def sample_months(
 def sample_hash(df: DataFrame, key: str, share: float) -> DataFrame:
     """A repeatable sample of keys: those whose hash falls in the lowest ``share`` of its range.
 
-    Whole keys are kept or left out, and the choice depends on neither file layout nor run.
+    Whole keys are kept or left out, and the choice depends on neither file layout nor run. A share
+    of 1 keeps every key and 0 none; a NULL key is never kept.
     """
-    limit = f"{min(int(share * 65536), 65535):04x}"
-    return df.where(F.substring(F.sha2(F.col(key).cast("string"), 256), 1, 4) < limit)
+    if share >= 1:
+        return df.where(F.col(key).isNotNull())
+    if share <= 0:
+        return df.where(F.lit(False))
+    # 60 bits of the hash, as text of one length
+    limit = f"{int(share * 16**15):015x}"
+    return df.where(F.substring(F.sha2(F.col(key).cast("string"), 256), 1, 15) < limit)
 
 
 def flatten_nested(df: DataFrame, array_col: str, fields: Sequence[str]) -> DataFrame:
@@ -146,20 +151,27 @@ def _stem(stems: Sequence[str]) -> str:
     return "|".join(rf"{s}\w*" for s in stems)
 
 
-def pair_patterns(
-    stems: Sequence[str], swap_stems: Sequence[str], direct_stems: Sequence[str] | None = None
-) -> dict[str, str]:
+def pair_patterns(stems: Sequence[str], swap_stems: Sequence[str]) -> dict[str, str]:
     """The regular expressions that find the source and the target of a migration."""
-    verb, swap, direct = _stem(stems), _stem(swap_stems), _stem(direct_stems or stems)
+    verb, swap = _stem(stems), _stem(swap_stems)
     return {
         "from_verb": rf"(?:{verb})[^.\n]{{0,60}}?\bfrom\b\s+({TOKEN})",
         "from_swap": rf"\b(?:{swap})\s+({TOKEN})\s+with\b",
         "to_verb": rf"(?:{verb})[^.\n]{{0,60}}?\b(?:to|with|into)\b\s+({TOKEN})",
         # the verb and its "to" may stand on two lines
-        "to_direct": rf"\b(?:{direct})\s+to\s+({TOKEN})",
+        "to_direct": rf"\b(?:{verb})\s+to\s+({TOKEN})",
     }
 
 
+def _once(df: DataFrame, **columns: Column) -> DataFrame:
+    """``df`` with columns that are computed once a row, whatever is asked of them later.
+
+    The rows pass through a generator, which the optimizer neither pushes filters through nor
+    merges projections across; otherwise every mention of a column repeats its expression.
+    """
+    return df.select("*", F.inline(F.array(F.struct(*[c.alias(name) for name, c in columns.items()]))))
+
+
 def parse_pairs(
     df: DataFrame,
     text: str,
@@ -172,14 +184,8 @@ def parse_pairs(
     ``strict`` keeps the narrower behaviour of the original extraction: stems count only as whole
     words in the filters, "swap" has no target, and a closing full stop stays on the token.
     """
-    patterns = pair_patterns(STRICT_STEMS, swap_stems, STRICT_DIRECT_STEMS) if strict else pair_patterns(stems, swap_stems)
+    patterns = STRICT_PATTERNS if strict else pair_patterns(stems, swap_stems)
     message = F.lower(F.col(text))
-    tidy = (lambda c: c) if strict else (lambda c: F.nullif(F.rtrim(c, F.lit(".-")), F.lit("")))
-    source = F.coalesce(
-        F.when(message.contains("from"), first_group(message, patterns["from_verb"])),
-        F.when(message.contains("with"), first_group(message, patterns["from_swap"])),
-    )
-    target = F.coalesce(first_group(message, patterns["to_verb"]), first_group(message, patterns["to_direct"]))
     told = F.col(text).isNotNull()
     if strict:
         told = (
@@ -187,7 +193,24 @@ def parse_pairs(
         )
     else:
         told = told & message.rlike("|".join(dict.fromkeys([*stems, *swap_stems])))
-    return df.where(told).withColumn("from_tech", tidy(source)).withColumn("to_tech", tidy(target))
+    # a pattern is only looked for where the message has the word it turns on
+    found = {
+        "from_verb": F.when(message.contains("from"), first_match(message, patterns["from_verb"])),
+        "from_swap": F.when(message.contains("with"), first_match(message, patterns["from_swap"])),
+        "to_verb": first_match(message, patterns["to_verb"]),
+        "to_direct": F.when(message.contains("to"), first_match(message, patterns["to_direct"])),
+    }
+    read = _once(df.where(told), _found=F.struct(*[c.alias(name) for name, c in found.items()]))
+
+    def either(first: str, second: str) -> Column:
+        token = F.coalesce(*[F.nullif(F.col(f"_found.{name}"), F.lit("")) for name in (first, second)])
+        return token if strict else F.nullif(F.rtrim(token, F.lit(".-")), F.lit(""))
+
+    return (
+        read.withColumn("from_tech", either("from_verb", "from_swap"))
+        .withColumn("to_tech", either("to_verb", "to_direct"))
+        .drop("_found")
+    )
 
 
 def mine_pairs(

@@ -11,7 +11,7 @@ from adoptrend.functions.calendar import month_label
 from adoptrend.operators import clean, extract, migration
 from adoptrend.plans.registry import query
 from adoptrend.session import scratch_path
-from adoptrend.sources import sinks
+from adoptrend.sources import log, sinks
 from adoptrend.sources.inputs import CUTOFF, EXCLUDE, MESSAGE_STEMS, MESSAGE_SWAPS, Inputs, with_views
 
 LINE = ["l_orderkey", "l_partkey", "l_linenumber", "year_month"]
@@ -27,6 +27,16 @@ def _line(df: DataFrame) -> DataFrame:
     f"SELECT {LINE_SQL} FROM lineitem WHERE strftime(l_shipdate, '%Y%m') BETWEEN '199706' AND '199805'",
 )
 def scan_event_range(t: Inputs) -> DataFrame:
+    path = scratch_path(t.spark, "log")
+    log.write_events(t.table("lineitem"), path, "l_shipdate")
+    return _line(log.load_events(t.spark, path, "199706", "199805"))
+
+
+@query(
+    "scan_event_range_statistics",
+    f"SELECT {LINE_SQL} FROM lineitem WHERE strftime(l_shipdate, '%Y%m') BETWEEN '199706' AND '199805'",
+)
+def scan_event_range_statistics(t: Inputs) -> DataFrame:
     return _line(extract.scan_months(t.table("lineitem"), "l_shipdate", "199706", "199805"))
 
 
@@ -54,7 +64,8 @@ def scan_complete_months(t: Inputs) -> DataFrame:
     ),
 )
 def scan_hash_sample(t: Inputs) -> DataFrame:
-    return extract.sample_hash(t.developer_repos, "repo_name", 0.25)
+    # the sample of the short key table decides, before anything of the log is joined or counted
+    return t.developer_repos_of(extract.sample_hash(t.repos, "repo_name", 0.25))
 
 
 @query(

@@ -18,7 +18,7 @@ from adoptrend.functions.text import normalise
 from adoptrend.operators import actors, clean, extract, migration, serving, trends
 from adoptrend.operators.graph import core, rank
 from adoptrend.operators.ordered import previous_value
-from adoptrend.session import cut, spread, tune
+from adoptrend.session import cut, tune
 
 # thresholds that bite on the test tables; the library's defaults are the published ones
 CUTOFF = "2001-06"
@@ -127,10 +127,15 @@ class Inputs:
     def developer_repos(self) -> DataFrame:
         return self._developer_repos(self.table("orders"))
 
-    def _developer_repos(self, orders: DataFrame) -> DataFrame:
+    def developer_repos_of(self, repos: DataFrame) -> DataFrame:
+        """The same for some repositories: the others leave the log first."""
+        chosen = repos.select(F.col("p_partkey").alias("l_partkey"))
+        return self._developer_repos(self.table("orders"), self.table("lineitem").join(chosen, "l_partkey", "left_semi"))
+
+    def _developer_repos(self, orders: DataFrame, lines: DataFrame | None = None) -> DataFrame:
         # whole numbers are shuffled and counted; names are joined to what is left
         counted = (
-            self.table("lineitem")
+            (self.table("lineitem") if lines is None else lines)
             .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
             .groupBy("o_custkey", "l_partkey", year_label(F.col("o_orderdate")).alias("year"))
             .agg(F.count("*").alias("commit_count"))
@@ -226,7 +231,7 @@ class Inputs:
     def payloads(self) -> DataFrame:
         """Push payloads: every document an event, its lines the messages of its commits."""
         line = F.transform(F.split("text", "\n"), lambda m: F.struct(m.alias("message")))
-        documents = spread(self.table("documents").select("doc_id", "lang", "text"))
+        documents = self.table("documents").select("doc_id", "lang", "text")
         return documents.select(
             "doc_id", "lang", F.to_json(F.struct(line.alias("commits"))).alias("payload")
         )

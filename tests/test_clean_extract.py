@@ -130,7 +130,18 @@ def test_hash_sample_keeps_whole_keys(spark):
     part = extract.sample_hash(df, "k", 0.5)
     kept = part.groupBy("k").count().collect()
     assert {r["count"] for r in kept} == {8} and 180 < len(kept) < 320
-    assert extract.sample_hash(df, "k", 1.0).count() > 3990
+    assert extract.sample_hash(df, "k", 1.0).count() == 4000
+    assert extract.sample_hash(df, "k", 0.0).count() == 0
+    many = spark.range(400_000)
+    assert 1 <= extract.sample_hash(many, "id", 1e-5).count() <= 20
+    assert extract.sample_hash(many, "id", 0.5).intersect(extract.sample_hash(many, "id", 0.6)).count() == extract.sample_hash(many, "id", 0.5).count()
+
+
+def test_every_pattern_runs_once(spark):
+    df = spark.createDataFrame([(m[0], "2020") for m in MESSAGES], "message string, year string")
+    for strict in (False, True):
+        plan = extract.mine_pairs(df, "message", "year", strict=strict)._jdf.queryExecution().optimizedPlan().toString()
+        assert 1 <= plan.count("regexp_extract(") <= 4
 
 
 def test_flatten(spark, rows):
