@@ -54,6 +54,10 @@ def zscores(features: DataFrame, columns: Sequence[str] = FEATURES) -> DataFrame
     return out.drop("_stats")
 
 
+# centres that may travel beside each row
+MAX_CENTRES = 10_000
+
+
 def _scaled(features: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Standardised vectors; written once, for the fits pass over them many times."""
     assembled = VectorAssembler(inputCols=list(columns), outputCol="raw", handleInvalid="skip").transform(features)
@@ -76,15 +80,16 @@ def cluster(
     seed: int = SEED,
     max_iter: int = MAX_ITER,
     columns: Sequence[str] = FEATURES,
-) -> tuple[DataFrame, DataFrame, float]:
-    """Clustered rows, centres in scaled space (k rows), and the silhouette."""
+    score: bool = False,
+) -> tuple[DataFrame, DataFrame, float | None]:
+    """Clustered rows, centres in scaled space (k rows), and, where ``score`` asks for it, the silhouette."""
     scaled = _scaled(features, columns)
     model, clustered = _fit(scaled, k, seed, max_iter)
     centres = features.sparkSession.createDataFrame(
         [(i, *[float(x) for x in c]) for i, c in enumerate(model.clusterCenters())],
         "cluster_id int, " + ", ".join(f"center_{c} double" for c in columns),
     )
-    return clustered.drop("features"), centres, _silhouette(clustered)
+    return clustered.drop("features"), centres, _silhouette(clustered) if score else None
 
 
 def k_sweep(features: DataFrame, ks: Sequence[int] = range(3, 9), seed: int = SEED, max_iter: int = MAX_ITER) -> DataFrame:
@@ -111,11 +116,13 @@ def feature_corr(features: DataFrame, columns: Sequence[str] = FEATURES) -> Data
 
 
 def assign(features: DataFrame, centres: DataFrame, columns: Sequence[str] = FEATURES) -> DataFrame:
-    """Nearest centre of each row.
+    """Nearest centre of each row; more than ``MAX_CENTRES`` centres raise.
 
     The centres are as many as there are clusters; they travel as one array beside each row, so
     that no row is multiplied.
     """
+    if centres.count() > MAX_CENTRES:
+        raise ValueError(f"more than {MAX_CENTRES} centres")
     every = centres.agg(
         F.array_sort(F.collect_list(F.struct("cluster_id", F.array(*[F.col(f"center_{c}") for c in columns]).alias("at"))))
     ).scalar()

@@ -21,6 +21,8 @@ ROWS = (
     "model string, is_forecast boolean, status string"
 )
 
+TOO_SHORT = "span too short"
+
 
 def series_span(monthly: DataFrame, min_span: int = MIN_SPAN) -> DataFrame:
     """Calendar months from the first to the last observation, and whether a model may be fitted."""
@@ -31,7 +33,7 @@ def series_span(monthly: DataFrame, min_span: int = MIN_SPAN) -> DataFrame:
     return (
         ends.withColumn("span", span)
         .withColumn("gaps", F.col("span") - F.col("observed"))
-        .withColumn("status", F.when(F.col("span") >= min_span, "eligible").otherwise("span too short"))
+        .withColumn("status", F.when(F.col("span") >= min_span, "eligible").otherwise(TOO_SHORT))
     )
 
 
@@ -106,14 +108,21 @@ def linear(series: DataFrame, horizon: int = HORIZON) -> DataFrame:
 def hw_fixed(
     series: DataFrame, alpha: float, beta: float, gamma: float, phi: float, horizon: int = HORIZON
 ) -> DataFrame:
-    """Damped additive Holt-Winters at given parameters; the start state comes from two first years."""
+    """Damped additive Holt-Winters at given parameters; the start state comes from two first years.
+
+    ``(language, year_month, yhat, status)``. A series under two years has one row that says so.
+    """
     values = F.transform("_sorted", lambda p: p["value"])
-    packed = (
+    every = (
         series.groupBy("language")
         .agg(F.sort_array(F.collect_list(F.struct("month_no", "value"))).alias("_sorted"), F.max("month_no").alias("last_no"))
-        .where(F.size("_sorted") >= 2 * SEASON)
         .select("language", "last_no", values.alias("_y"))
     )
+    packed = every.where(F.size("_y") >= 2 * SEASON)
+    short = every.where(F.size("_y") < 2 * SEASON).select(
+        "language", F.lit(None).cast("string").alias("year_month"), F.lit(None).cast("double").alias("yhat"),
+        F.lit(TOO_SHORT).alias("status"),
+    )
 
     def mean(first: int):
         year = F.slice("_y", first, SEASON)
@@ -140,9 +149,10 @@ def hw_fixed(
     run = started.withColumn("_end", F.aggregate(rest, start, step))
     damped = F.aggregate(F.sequence(F.lit(1), F.col("h")), F.lit(0.0), lambda a, i: a + F.pow(F.lit(phi), i))
     season = F.element_at(F.col("_end.s"), (F.col("h") - 1) % SEASON + 1)
-    return _future(run, horizon).select(
-        "language", "year_month", (F.col("_end.l") + damped * F.col("_end.b") + season).alias("yhat")
+    ahead = _future(run, horizon).select(
+        "language", "year_month", (F.col("_end.l") + damped * F.col("_end.b") + season).alias("yhat"), F.lit("ok").alias("status")
     )
+    return ahead.unionByName(short)
 
 
 def _fit_one(horizon: int):
@@ -184,12 +194,12 @@ def _fit_one(horizon: int):
 def holt_winters(series: DataFrame, horizon: int = HORIZON) -> DataFrame:
     """History and forecast rows of every series; a failed fit keeps its rows.
 
-    The rows are few and the fits are long: the number of tasks follows the cores, where run-time
-    merging by size would leave all fits to one task.
+    The rows are few and the fits are long: the series are dealt over as many tasks as any other
+    exchange has, where run-time merging by size would leave all fits to one task.
     """
     columns = ["language", "month_no", "year_month", "value"]
-    cores = series.sparkSession.sparkContext.defaultParallelism
-    spread = series.select(*columns).repartition(cores, "language")
+    tasks = int(series.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = series.select(*columns).repartition(tasks, "language")
     return spread.groupBy("language").applyInPandas(_fit_one(horizon), ROWS)
 
 
@@ -201,22 +211,41 @@ def forecast(
     horizon: int = HORIZON,
     model: str = "hw",
 ) -> DataFrame:
-    """History and forecast of the leading categories with a long enough span."""
+    """History and forecast rows (``ROWS``) of the leading categories.
+
+    A category with too short a span has one row, without month and values, whose status says so.
+    """
     chosen = monthly
     if top_n is not None:
         chosen = monthly.join(top_categories(monthly, top_n, value).select("language"), "language", "left_semi")
     series = gapfill(eligible(chosen, min_span), value)
     if model == "hw":
-        return holt_winters(series, horizon)
-    if model == "linear":
-        return linear(series, horizon)
-    raise ValueError(f"unknown model {model!r}")
+        rows = holt_winters(series, horizon)
+    elif model == "linear":
+        rows = _as_rows(linear(series, horizon), "linear", "ok")
+    else:
+        raise ValueError(f"unknown model {model!r}")
+    left_out = series_span(chosen, min_span).where(F.col("status") != "eligible").select("language", "status")
+    silent = _as_rows(left_out.withColumn("is_forecast", F.lit(False)), {"hw": "holt-winters"}.get(model, model))
+    return rows.unionByName(silent)
+
+
+def _as_rows(df: DataFrame, model: str, status: str | None = None) -> DataFrame:
+    """``df`` with the columns of ``ROWS``; those it lacks are NULL."""
+    given = {"model": F.lit(model)} | ({"status": F.lit(status)} if status else {})
+    columns = [c.strip().split(" ") for c in ROWS.split(",")]
+    return df.select(
+        *[
+            given.get(name, F.col(name) if name in df.columns else F.lit(None)).cast(kind).alias(name)
+            for name, kind in columns
+        ]
+    )
 
 
 def legacy_columns(rows: DataFrame) -> DataFrame:
     """Forecast rows under the column names existing readers expect."""
     null = F.lit(None).cast("double")
-    return rows.select(
+    return rows.where(F.col("year_month").isNotNull()).select(
         "language",
         "year_month",
         "actual",

@@ -110,6 +110,91 @@ def cluster_profiles(t: Inputs) -> DataFrame:
     return rounded(ft.cluster_profiles(assigned(t)), *FEATURES)
 
 
+# Labels and signs are free to differ between implementations, so the SQL states what any right
+# result has; the Spark side measures it.
+@query(
+    "clusters_check",
+    with_views(
+        "monthly",
+        extra=FEATURE_VIEWS,
+        body="""SELECT count(*) AS languages, 6 AS clusters, CAST(0 AS BIGINT) AS off_nearest, CAST(0 AS BIGINT) AS off_mean,
+                       true AS silhouette_agrees FROM features""",
+    ),
+)
+def clusters_check(t: Inputs) -> DataFrame:
+    table = features(t)
+    rows, centres, silhouette = ft.cluster(table, score=True)
+    z = ft.zscores(table)
+    rows, centres = cut(rows.select("language", "cluster")), cut(centres)
+    nearest = ft.assign(z, centres).select("language", F.col("cluster").alias("_near"))
+    off_nearest = rows.join(nearest, "language").where(F.col("cluster") != F.col("_near")).count()
+    joined = cut(z.join(rows, "language"))
+    means = joined.groupBy("cluster").agg(*[F.avg(c).alias(c) for c in FEATURES])
+    gap = sum((F.abs(F.col(c) - F.col(f"center_{c}")) for c in FEATURES), F.lit(0.0))
+    off_mean = means.join(centres, F.col("cluster") == F.col("cluster_id")).where(gap > 1e-6).count()
+    again = own_silhouette(joined)
+    return rows.agg(
+        F.count("*").alias("languages"),
+        F.countDistinct("cluster").cast("int").alias("clusters"),
+        F.lit(off_nearest).cast("long").alias("off_nearest"),
+        F.lit(off_mean).cast("long").alias("off_mean"),
+        F.lit(abs(again - silhouette) < 1e-6).alias("silhouette_agrees"),
+    )
+
+
+def own_silhouette(joined: DataFrame) -> float:
+    """Mean silhouette by squared distances, from sums per cluster: an independent second opinion."""
+    squares = sum((F.col(c) * F.col(c) for c in FEATURES), F.lit(0.0))
+    per = joined.groupBy("cluster").agg(
+        F.count("*").alias("n"), F.sum(squares).alias("q"), *[F.sum(c).alias(f"s_{c}") for c in FEATURES]
+    )
+    # a row for each cluster; the number of clusters is an argument
+    sums = [r.asDict() for r in per.collect()]
+
+    def mean_to(c: dict, others: int):
+        dot = sum((F.col(f) * F.lit(c[f"s_{f}"]) for f in FEATURES), F.lit(0.0))
+        return (squares * c["n"] + c["q"] - dot * 2) / (c["n"] - others)
+
+    inside = F.coalesce(*[F.when((F.col("cluster") == c["cluster"]) & F.lit(c["n"] > 1), mean_to(c, 1 if c["n"] > 1 else 0)) for c in sums])
+    outside = F.least(
+        *[F.when(F.col("cluster") != c["cluster"], mean_to(c, 0)) for c in sums],
+        F.lit(None).cast("double"),
+    )
+    value = F.coalesce((outside - inside) / F.greatest(inside, outside), F.lit(0.0))
+    return joined.agg(F.avg(value)).first()[0]
+
+
+@query(
+    "pca_check",
+    with_views(
+        "monthly",
+        extra=FEATURE_VIEWS,
+        body="""SELECT count(*) AS languages, true AS uncorrelated, true AS ordered, true AS eigenvectors FROM features""",
+    ),
+)
+def pca_check(t: Inputs) -> DataFrame:
+    table = features(t)
+    axes = cut(ft.zscores(table).join(ft.pca_2d(table), "language"))
+    sums = axes.agg(
+        F.covar_samp("pc1", "pc2").alias("c12"), F.var_samp("pc1").alias("v1"), F.var_samp("pc2").alias("v2"),
+        *[F.covar_samp(c, p).alias(f"{p}_{c}") for c in FEATURES for p in ("pc1", "pc2")],
+        *[F.covar_samp(a, b).alias(f"{a}|{b}") for a in FEATURES for b in FEATURES],
+    ).first()
+    # the covariances of a component with the features are its eigenvector, scaled by its variance
+    residual = 0.0
+    for p, v in (("pc1", sums["v1"]), ("pc2", sums["v2"])):
+        axis = {c: sums[f"{p}_{c}"] / v for c in FEATURES}
+        for a in FEATURES:
+            residual = max(residual, abs(sum(sums[f"{a}|{b}"] * axis[b] for b in FEATURES) - v * axis[a]))
+    trace = sum(sums[f"{c}|{c}"] for c in FEATURES)
+    return axes.agg(F.count("*").alias("languages")).select(
+        "languages",
+        F.lit(abs(sums["c12"]) < 1e-6).alias("uncorrelated"),
+        F.lit(sums["v1"] >= sums["v2"] and sums["v1"] + sums["v2"] <= trace + 1e-6).alias("ordered"),
+        F.lit(residual < 1e-6).alias("eigenvectors"),
+    )
+
+
 @query("cluster_languages")
 def cluster_languages(t: Inputs) -> DataFrame:
     return ft.cluster(features(t))[0]
@@ -122,7 +207,7 @@ def cluster_centers(t: Inputs) -> DataFrame:
 
 @query("cluster_quality")
 def cluster_quality(t: Inputs) -> DataFrame:
-    rows, _, silhouette = ft.cluster(features(t))
+    rows, _, silhouette = ft.cluster(features(t), score=True)
     return rows.agg(F.countDistinct("cluster").alias("clusters"), F.lit(silhouette).alias("silhouette"))
 
 

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from adoptrend.operators import forecast as fc
 from adoptrend.plans.registry import query
 from adoptrend.plans.trending import ORDINAL, rounded
+from adoptrend.session import cut
 from adoptrend.sources.inputs import SPAN, Inputs, with_views
 
 EVERY = 24
@@ -92,6 +93,28 @@ def forecast_linear(t: Inputs) -> DataFrame:
     return rounded(line(t), "actual", "yhat")
 
 
+LONG_SPAN = 84
+
+
+@query(
+    "forecast_long",
+    with_views(
+        "monthly",
+        extra={
+            **FORECAST_VIEWS,
+            "spans": SPANS.replace(f"span >= {SPAN}", f"span >= {LONG_SPAN}"),
+        },
+        body="""SELECT language, year_month, round(actual, 6) AS actual, round(yhat, 6) AS yhat, NULL::DOUBLE AS lower,
+                       NULL::DOUBLE AS upper, 'linear' AS model, is_forecast, 'ok' AS status FROM fc
+                UNION ALL SELECT language, NULL, NULL, NULL, NULL, NULL, 'linear', false, status FROM spans
+                WHERE status <> 'eligible'""",
+    ),
+)
+def forecast_long(t: Inputs) -> DataFrame:
+    rows = fc.forecast(t.monthly, top_n=None, min_span=LONG_SPAN, horizon=EVERY, model="linear")
+    return rounded(rows, "actual", "yhat")
+
+
 A, B, G, PHI = 0.35, 0.2, 0.15, 0.9
 HW = {
     "packed": "SELECT language, list(value ORDER BY month_no) AS ys, max(month_no) AS last_no FROM filled GROUP BY 1",
@@ -118,7 +141,8 @@ HW = {
     ),
 )
 def hw_fixed_params(t: Inputs) -> DataFrame:
-    return rounded(fc.hw_fixed(series(t), A, B, G, PHI, EVERY), "yhat")
+    fitted = fc.hw_fixed(series(t), A, B, G, PHI, EVERY).where(F.col("status") == "ok")
+    return rounded(fitted.drop("status"), "yhat")
 
 
 @query(
@@ -205,6 +229,40 @@ def forecast_holt_winters(t: Inputs) -> DataFrame:
     return fc.forecast(t.monthly, top_n=None, min_span=SPAN).where("is_forecast")
 
 
+@query(
+    "forecast_check",
+    with_views(
+        "monthly",
+        extra=SERIES_VIEWS,
+        body=f"""SELECT language, {EVERY} AS months, true AS band_in_order, true AS not_negative, true AS follows_history,
+                        true AS fits_no_worse FROM (SELECT DISTINCT language FROM filled)""",
+    ),
+)
+def forecast_check(t: Inputs) -> DataFrame:
+    """What any right fit has: all months, ordered bands, and in-sample errors no worse than last year's month."""
+    held = cut(series(t))
+    rows = cut(fc.holt_winters(held))
+    ahead = rows.where("is_forecast").groupBy("language").agg(
+        F.count("*").cast("int").alias("months"),
+        F.every((F.col("lower") <= F.col("yhat")) & (F.col("yhat") <= F.col("upper"))).alias("band_in_order"),
+        F.every(F.col("lower") >= 0).alias("not_negative"),
+        F.min("year_month").alias("_first"),
+        # the band is 1.96 times the spread of the errors one month ahead
+        F.min_by((F.col("upper") - F.col("yhat")) / 1.96, "year_month").alias("_spread"),
+    )
+    by_month = Window.partitionBy("language").orderBy("month_no")
+    naive = (
+        held.withColumn("_error", F.col("value") - F.lag("value", 12).over(by_month))
+        .groupBy("language")
+        .agg(F.sqrt(F.avg(F.col("_error") * F.col("_error"))).alias("_naive"), F.max("year_month").alias("_last"))
+    )
+    return ahead.join(naive, "language").select(
+        "language", "months", "band_in_order", "not_negative",
+        (F.col("_first") > F.col("_last")).alias("follows_history"),
+        (F.col("_spread") <= F.col("_naive") * 1.0001 + 1e-9).alias("fits_no_worse"),
+    )
+
+
 @query("forecast_rows")
 def forecast_rows(t: Inputs) -> DataFrame:
     return fc.legacy_columns(fc.forecast(t.monthly_table, min_span=SPAN))

@@ -103,7 +103,7 @@ def features(spark):
 
 
 def test_clusters(features):
-    rows, centres, silhouette = ft.cluster(features, k=3)
+    rows, centres, silhouette = ft.cluster(features, k=3, score=True)
     found = {r.language: r.cluster for r in rows.collect()}
     assert len({tuple(sorted(n for n, c in found.items() if c == k)) for k in range(3)}) == 3 and silhouette > 0.9
     assert all(len({found[f"l{i}"] for i in range(start, 60, 3)}) == 1 for start in range(3))

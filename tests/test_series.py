@@ -53,7 +53,10 @@ def test_constant_series_stays_constant(spark):
     assert len(ahead) == 24 and {r.language for r in ahead} == {"flat"}
     assert [r.year_month for r in ahead] == months((2022, 1), 24)
     assert [r.yhat for r in ahead] == pytest.approx([100] * 24)
-    past = out.where("not is_forecast")
+    told = out.where("language = 'short'").collect()
+    assert [(r.year_month, r.actual, r.is_forecast, r.status) for r in told] == [(None, None, False, fc.TOO_SHORT)]
+    assert fc.legacy_columns(out).where("language = 'short'").isEmpty()
+    past = out.where("not is_forecast and language = 'flat'")
     assert past.count() == 48 and past.where("yhat is not null or actual is null").count() == 0
     assert out.where("actual = double('NaN') or yhat = double('NaN')").count() == 0
 
