@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from adoptrend.functions.fixed import (
@@ -14,6 +14,7 @@ from adoptrend.functions.fixed import (
     TOP_ACTORS,
 )
 from adoptrend.functions.text import normalise, present
+from adoptrend.operators.ordered import global_rank, running_total
 
 
 def pseudonymise(df: DataFrame, id_col: str, out: str = "dev_id", salt: str | None = None) -> DataFrame:
@@ -43,20 +44,22 @@ def actor_stats(edges: DataFrame, min_repos: int = MIN_REPOS, max_repos: int = M
 def top_actors(stats: DataFrame, n: int = TOP_ACTORS) -> DataFrame:
     """The ``n`` broadest actors, ties by id.
 
-    Counting actors per breadth (a few thousand values at most) first gives the breadth of the
-    n-th actor, so that only actors at least that broad are sorted. ``stats`` is read twice.
+    Actors are counted per breadth first, which gives the breadth of the n-th actor. Broader ones
+    pass as they are; only those of just that breadth are put in order, over ranges of ids, so no
+    task gathers the ``n`` however large it is. ``stats`` is read twice.
     """
-    per_breadth = stats.groupBy("distinct_repos").agg(F.count("*").alias("_n"))
-    broader = Window.orderBy(F.desc("distinct_repos")).rowsBetween(Window.unboundedPreceding, -1)
-    least = (
-        per_breadth.withColumn("_before", F.coalesce(F.sum("_n").over(broader), F.lit(0)))
-        .where(F.col("_before") < n)
-        .agg(F.min("distinct_repos"))
-        .scalar()
-    )
-    return (
-        stats.where(F.col("distinct_repos") >= least).orderBy(F.desc("distinct_repos"), "dev_id").limit(n)
+    per_breadth = stats.groupBy((-F.col("distinct_repos")).alias("_narrow")).agg(F.count("*").alias("_n"))
+    edge = (
+        running_total(per_breadth, ["_narrow"], "_n", "_upto")
+        .where(F.col("_upto") - F.col("_n") < n)
+        .agg((-F.max("_narrow")).alias("least"), F.max(F.col("_upto") - F.col("_n")).alias("above"))
+        .first()
     )
+    if edge["least"] is None:
+        return stats.limit(0)
+    tied = global_rank(stats.where(F.col("distinct_repos") == edge["least"]), ["dev_id"], "_place")
+    within = tied.where(F.col("_place") < n - edge["above"]).select(*stats.columns)
+    return stats.where(F.col("distinct_repos") > edge["least"]).unionByName(within)
 
 
 def membership(edges: DataFrame, actors: DataFrame) -> DataFrame:
@@ -79,18 +82,39 @@ def hubless(members: DataFrame, max_members: int = MAX_MEMBERS) -> DataFrame:
     return members.join(crowded, "repo_name", "left_anti")
 
 
-def co_edges(members: DataFrame, min_shared: int = MIN_SHARED) -> DataFrame:
+def _pairs(members: DataFrame, period: bool) -> DataFrame:
+    """``(dev_a, dev_b, repo_name)`` once for each repository both touched in a same year, with ``year`` on request.
+
+    The members of a repository are gathered once, and the pairs go out from there. ``hubless``
+    bounds the members of a repository, so it bounds what is gathered and emitted.
+    """
+    key = ["repo_name", "year"] if period else ["repo_name"]
+    entries = (
+        members.repartition(*[F.col(k) for k in key])
+        .groupBy(*key, "dev_id")
+        .agg(F.collect_set("year").alias("years"))
+        .groupBy(*key)
+        .agg(F.array_sort(F.collect_list(F.struct("dev_id", "years"))).alias("all"))
+    )
+
+    def after(a, i):
+        later = F.filter(F.slice("all", i + 2, F.size("all")), lambda b: F.arrays_overlap(a["years"], b["years"]))
+        return F.transform(later, lambda b: F.struct(a["dev_id"].alias("dev_a"), b["dev_id"].alias("dev_b")))
+
+    return entries.select(*key, F.inline(F.flatten(F.transform("all", after))))
+
+
+def co_edges(members: DataFrame, min_shared: int = MIN_SHARED, yearly: bool = False) -> DataFrame:
     """Pairs ``dev_a < dev_b`` with the number of repositories both touched in the same year.
 
     ``members`` must come from ``hubless``: no repository then has more members than its limit,
-    and the pairs of one (repository, year) are bounded by the square of that limit.
+    and the pairs of one repository are bounded by the square of that limit. ``yearly`` gives the
+    pairs of each year by itself, with a column ``year``.
     """
-    a = members.select("repo_name", "year", F.col("dev_id").alias("dev_a"))
-    b = members.select("repo_name", "year", F.col("dev_id").alias("dev_b"))
+    key = ["dev_a", "dev_b", *(["year"] if yearly else [])]
     return (
-        a.join(b, ["repo_name", "year"])
-        .where(F.col("dev_a") < F.col("dev_b"))
-        .groupBy("dev_a", "dev_b")
-        .agg(F.countDistinct("repo_name").alias("shared_repos"))
+        _pairs(members, yearly)
+        .groupBy(*key)
+        .agg(F.count("*").alias("shared_repos"))
         .where(F.col("shared_repos") >= min_shared)
     )

@@ -223,6 +223,13 @@ def community_flow(before: DataFrame, after: DataFrame) -> DataFrame:
     return a.join(b, "dev_id").groupBy("from_community", "to_community").agg(F.count("*").alias("members"))
 
 
+def community_flows(labels: DataFrame) -> DataFrame:
+    """The same from every year to the next, of ``labels(dev_id, year, community_id)`` with whole-number years."""
+    a = labels.select("dev_id", "year", F.col("community_id").alias("from_community"))
+    b = labels.select("dev_id", (F.col("year") - 1).alias("year"), F.col("community_id").alias("to_community"))
+    return a.join(b, ["dev_id", "year"]).groupBy("year", "from_community", "to_community").agg(F.count("*").alias("members"))
+
+
 def modal_label(facts: DataFrame, labels: DataFrame, label: str) -> DataFrame:
     """The label under which each actor was most active, ties to the last by name."""
     return (
@@ -269,3 +276,25 @@ def summary_row(df: DataFrame, name: str, fact: Column) -> DataFrame:
     return df.agg(F.count("*").alias("n"), fact.cast("string").alias("key_fact")).select(
         F.lit(name).alias("deliverable"), F.col("n"), "key_fact"
     )
+
+
+def dashboard_tables(
+    monthly: DataFrame, clusters: DataFrame, forecasts: DataFrame, edges: DataFrame, nodes: DataFrame,
+    influence: DataFrame, members: DataFrame, orgs: DataFrame,
+) -> dict[str, DataFrame]:
+    """The slim tables the dashboard reads, by name."""
+    profile = community_profile(members, orgs)
+    return {
+        "d1_monthly": monthly.select("language", "year_month", "repo_count", "total_bytes", "commit_count"),
+        "d1_clusters": clusters,
+        "d2_forecasts": forecasts,
+        "d3_edges": serving_edges(edges),
+        "d3_nodes": serving_nodes(nodes),
+        "d4_pagerank": top_influencers(influence, 200),
+        "d5_communities": leading_communities(profile, 60, "size", 5).select(
+            "community_id", "size", F.col("mean_pagerank").alias("avg_pagerank"), "max_pagerank",
+            F.col("mean_degree").alias("avg_degree"), "top_orgs",
+        ),
+        "d5_bridge_devs": bridge_actors(members),
+        "d5_totals": size_summary(members),
+    }

@@ -8,12 +8,13 @@ from pyspark.sql import functions as F
 from adoptrend.operators import migration, serving
 from adoptrend.operators import actors as ac
 from adoptrend.operators import forecast as fc
+from adoptrend.operators.graph import betweenness as between
 from adoptrend.operators.graph import components as comps
 from adoptrend.operators.graph import core, rank
 from adoptrend.operators.trends import top_categories
-from adoptrend.plans.clusters import features
+from adoptrend.plans.clusters import ASSIGNED, assigned, features
 from adoptrend.plans.forecasting import FORECAST_VIEWS, line
-from adoptrend.plans.graphs import migration_vertices, pagerank_views
+from adoptrend.plans.graphs import betweenness_views, migration_vertices, pagerank_views
 from adoptrend.plans.registry import query
 from adoptrend.plans.trending import TOP, rounded
 from adoptrend.session import cut, scratch_path
@@ -210,6 +211,41 @@ def leading_communities(t: Inputs) -> DataFrame:
     return _profile_rounded(serving.leading_communities(profile(t), 12, "size", 5))
 
 
+@query(
+    "served_communities",
+    with_views(
+        *NEEDS,
+        "actor_facts",
+        extra={
+            **INFLUENCE,
+            "profile": PROFILE,
+            "best": "SELECT * FROM profile WHERE size >= 5 ORDER BY size DESC, community_id LIMIT 60",
+        },
+        body=f"SELECT {PROFILE_COLUMNS} FROM best",
+    ),
+)
+def served_communities(t: Inputs) -> DataFrame:
+    return _profile_rounded(serving.leading_communities(profile(t), 60, "size", 5))
+
+
+@query(
+    "influential_communities",
+    with_views(
+        *NEEDS,
+        "actor_facts",
+        extra={
+            **INFLUENCE,
+            "profile": PROFILE,
+            "best": "SELECT * FROM profile ORDER BY round(max_pagerank, 10) DESC, community_id LIMIT 10",
+        },
+        body=f"SELECT {PROFILE_COLUMNS} FROM best",
+    ),
+)
+def influential_communities(t: Inputs) -> DataFrame:
+    # equal ranks may differ in the last bits: ties are settled by id from the 10th decimal on
+    return serving.leading_communities(_profile_rounded(profile(t)), 10, "max_pagerank")
+
+
 @query(
     "community_size_summary",
     with_views(
@@ -265,16 +301,15 @@ def communities_touched(t: Inputs) -> DataFrame:
     return serving.bridging(t.segments, core.symmetric(t.actor_graph))
 
 
-def _year_views(year: str) -> dict[str, str]:
-    y = f"y{year}"
-    return {
-        f"{y}_links": f"""SELECT a.dev_id AS src, b.dev_id AS dst FROM members a JOIN members b
-                 ON a.repo_name = b.repo_name AND a.year = b.year AND a.dev_id <> b.dev_id
-                 WHERE a.year = '{year}' GROUP BY 1, 2 HAVING count(DISTINCT a.repo_name) >= {SHARED}""",
-        f"{y}_reach": f"""SELECT id, id AS label FROM actor_vertices
-                 UNION SELECT dst, label FROM {y}_reach JOIN {y}_links ON src = id""",
-        f"{y}_labels": f"SELECT id AS dev_id, min(label) AS community FROM {y}_reach GROUP BY 1",
-    }
+YEARLY = {
+    "years": "SELECT DISTINCT CAST(year AS INTEGER) AS year FROM members",
+    "yearly_links": f"""SELECT CAST(a.year AS INTEGER) AS year, a.dev_id AS src, b.dev_id AS dst FROM members a JOIN members b
+                        ON a.repo_name = b.repo_name AND a.year = b.year AND a.dev_id <> b.dev_id
+                        GROUP BY 1, 2, 3 HAVING count(DISTINCT a.repo_name) >= {SHARED}""",
+    "yearly_reach": """SELECT year, id, id AS label FROM actor_vertices, years
+                       UNION SELECT l.year, dst, label FROM yearly_reach r JOIN yearly_links l ON src = id AND l.year = r.year""",
+    "yearly_labels": "SELECT year, id AS dev_id, min(label) AS community FROM yearly_reach GROUP BY 1, 2",
+}
 
 
 @query(
@@ -282,21 +317,24 @@ def _year_views(year: str) -> dict[str, str]:
     with_views(
         "members",
         "actor_vertices",
-        extra={**_year_views("1999"), **_year_views("2000")},
+        extra=YEARLY,
         recursive=True,
-        body="""SELECT a.community AS from_community, b.community AS to_community, count(*) AS members
-                FROM y1999_labels a JOIN y2000_labels b USING (dev_id) GROUP BY 1, 2""",
+        body="""SELECT a.year, a.community AS from_community, b.community AS to_community, count(*) AS members
+                FROM yearly_labels a JOIN yearly_labels b ON a.dev_id = b.dev_id AND b.year = a.year + 1 GROUP BY 1, 2, 3""",
     ),
 )
 def community_flow(t: Inputs) -> DataFrame:
-    def in_year(year: str) -> DataFrame:
-        pairs = ac.co_edges(t.members.where(F.col("year") == year), SHARED)
-        edges = pairs.select(F.col("dev_a").alias("src"), F.col("dev_b").alias("dst"), F.lit(1.0).alias("w"))
-        return comps.components(t.actor_vertices, edges).select(
-            F.col("id").alias("dev_id"), F.col("component").alias("community_id")
-        )
-
-    return serving.community_flow(in_year("1999"), in_year("2000"))
+    # one run for all years: a vertex is an actor in a year, and edges stay within a year
+    at = lambda c: F.concat_ws(":", "year", c)
+    pairs = ac.co_edges(t.members, SHARED, yearly=True)
+    edges = pairs.select(at("dev_a").alias("src"), at("dev_b").alias("dst"), F.lit(1.0).alias("w"))
+    every = t.members.groupBy().agg(F.collect_set("year").alias("years")).scalar()  # a row for each year
+    vertices = t.actor_vertices.withColumn("year", F.explode(every)).select(at("id").alias("id"))
+    part = lambda c, i: F.split_part(c, F.lit(":"), F.lit(i))
+    labels = comps.components(vertices, edges).select(
+        part("id", 1).cast("int").alias("year"), part("id", 2).alias("dev_id"), part("component", 2).alias("community_id")
+    )
+    return serving.community_flows(cut(labels))
 
 
 @query(
@@ -370,6 +408,69 @@ def top_nodes(t: Inputs) -> DataFrame:
     return serving.serving_nodes(nodes)
 
 
+@query(
+    "top_nodes_by_betweenness",
+    with_views(
+        "migration_links",
+        "migration_vertices",
+        extra={
+            **betweenness_views("migration_vertices", "migration_links", 8),
+            "scores": """SELECT id AS tech, round(coalesce(b, 0) / ((SELECT count(*) FROM migration_vertices) - 1)
+                                / ((SELECT count(*) FROM migration_vertices) - 2), 8) AS betweenness
+                         FROM migration_vertices LEFT JOIN delta ON v = id""",
+        },
+        body="SELECT * FROM scores ORDER BY betweenness DESC, tech LIMIT 15",
+    ),
+)
+def top_nodes_by_betweenness(t: Inputs) -> DataFrame:
+    scores = between.betweenness(migration_vertices(t), t.migration_graph)
+    named = scores.select(F.col("id").alias("tech"), F.round("betweenness", 8).alias("betweenness"))
+    return named.orderBy(F.desc("betweenness"), "tech").limit(15)
+
+
+SERVED = {
+    "d1_monthly": "SELECT count(*) FROM monthly WHERE language IN (SELECT language FROM best)",
+    "d1_clusters": "SELECT count(*) FROM assigned WHERE language IN (SELECT language FROM best)",
+    "d2_forecasts": "SELECT count(*) FROM fc",
+    "d3_edges": "SELECT count(*) FROM migration_edges",
+    "d3_nodes": "SELECT count(*) FROM node_flow",
+    "d4_pagerank": "SELECT least(200, count(*)) FROM influence",
+    "d5_communities": "SELECT least(60, count(*) FILTER (size >= 5)) FROM profile",
+    "d5_bridge_devs": "SELECT least(50, count(*)) FROM segmented",
+    "d5_totals": "SELECT 1",
+}
+
+
+@query(
+    "export_serving_tables",
+    with_views(
+        "monthly",
+        "migration_edges",
+        "node_flow",
+        *NEEDS,
+        "actor_facts",
+        extra={**FORECAST_VIEWS, **INFLUENCE, **ASSIGNED, "profile": PROFILE, "best": TOP.format(20)},
+        body=" UNION ALL ".join(f"SELECT '{name}' AS served, ({count}) AS n" for name, count in SERVED.items()),
+    ),
+)
+def export_serving_tables(t: Inputs) -> DataFrame:
+    """All tables of the dashboard, written as JSON and read back."""
+    leading = cut(top_categories(t.monthly_table, 20)).select("language")
+    keep = lambda df: df.join(leading, "language", "left_semi")
+    tables = serving.dashboard_tables(
+        keep(t.monthly_table), keep(assigned(t)), fc.legacy_columns(line(t).withColumn("model", F.lit("linear"))),
+        t.migration_edges, migration.node_flow(t.migration_edges), t.influence, t.segment_members,
+        serving.community_orgs(t.segments, t.actor_facts),
+    )
+    out = None
+    for name, df in tables.items():
+        path = scratch_path(t.spark, "json")
+        sinks.write_json(df, path)
+        row = t.spark.read.schema(df.schema).json(path).agg(F.count("*").alias("n")).select(F.lit(name).alias("served"), "n")
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
 @query(
     "export_serving_json",
     with_views(

@@ -41,15 +41,15 @@ def table(columns, rows):
 TYPES = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
 
 
-def compare(spark, connection, name: str, folder: str) -> tuple[str, str]:
+def compare(spark, connection, name: str, folder: str, queries=QUERIES, sql=SQL) -> tuple[str, str]:
     start = time.time()
-    df = QUERIES[name](spark, folder)
+    df = queries[name](spark, folder)
     left = table(df.columns, [tuple(r) for r in df.collect()])
     took = time.time() - start
-    if name not in SQL:
+    if name not in sql:
         return "rows", f"{len(left[1])} rows, {took:.1f}s"
     start = time.time()
-    result = connection.execute(SQL[name])
+    result = connection.execute(sql[name])
     right = table([d[0] for d in result.description], result.fetchall())
     note = f"{len(left[1])} rows, {took:.1f}s, sql {time.time() - start:.1f}s"
     if left[0] != right[0]:
