@@ -15,6 +15,7 @@ from collections import Counter
 from collections.abc import Iterator
 from functools import cache
 from heapq import nlargest
+from itertools import islice
 
 import pandas as pd
 import public_tokenizers
@@ -36,7 +37,7 @@ COUNTED = 200_000
 # sketches merged by one task
 MERGED = 32
 # words and pre-tokens that a worker keeps; longer ones are not kept
-CACHED = 250_000
+CACHED = 400_000
 LONG = 64
 
 # Python's split() also splits at these, the library doesn't
@@ -53,6 +54,13 @@ def words(text: str) -> list[str]:
     return text.split()
 
 
+def make_room(cache: dict) -> None:
+    """Drop the older half of a full cache."""
+    if len(cache) >= CACHED:
+        for key in list(islice(cache, len(cache) // 2)):
+            del cache[key]
+
+
 class Pretokens(dict):
     """Counts of pre-tokens, by the library."""
 
@@ -68,8 +76,7 @@ class Pretokens(dict):
     def __missing__(self, pretoken: str) -> int:
         n = self.count(pretoken)
         if len(pretoken) <= LONG:
-            if len(self) >= CACHED:
-                self.clear()
+            make_room(self)
             self[pretoken] = n
         return n
 
@@ -81,18 +88,16 @@ class Pretokens(dict):
 
 
 class Words(dict):
-    """Counts of words: the frequent ones at first, and those met lately."""
+    """Counts of words: those met lately, the frequent ones, and by their pre-tokens the others."""
 
     def __init__(self, frequent: dict[str, int], pretokens: Pretokens):
-        super().__init__(frequent)
+        super().__init__()
         self.frequent, self.pretokens = frequent, pretokens
 
     def __missing__(self, word: str) -> int:
-        n = self.pretokens.of_word(word)
+        n = self.frequent.get(word) or self.pretokens.of_word(word)
         if len(word) <= LONG:
-            if len(self) >= CACHED:
-                self.clear()
-                self.update(self.frequent)
+            make_room(self)
             self[word] = n
         return n
 
@@ -101,9 +106,9 @@ class Words(dict):
 
 
 @cache
-def pretokens(vocabulary: str) -> Pretokens:
+def worker_cache(vocabulary: str) -> Words:
     """One for each worker, so that tasks find what earlier ones have cached."""
-    return Pretokens(vocabulary)
+    return Words({}, Pretokens(vocabulary))
 
 
 def _trimmed(counts: Counter, size: int) -> Counter:
@@ -155,13 +160,14 @@ def token_counts(docs: DataFrame, vocabulary: str = VOCABULARY, limit: int = LIM
     empty: no bytes, no tokens. No rows give no rows.
     """
     small_batches(docs.sparkSession)
-    known = pretokens(vocabulary)
+    known = Pretokens(vocabulary)
     table = {w: known.of_word(w) for w in frequent_words(docs, text)}
     sent = docs.sparkSession.sparkContext.broadcast(table)  # FREQUENT words of LONG characters at most
 
     @F.pandas_udf("long")
     def count(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        lookup = Words(sent.value, pretokens(vocabulary))
+        lookup = worker_cache(vocabulary)
+        lookup.frequent = sent.value
         for texts in batches:
             yield pd.Series([lookup.in_text(t) for t in texts], dtype="int64")
 
