@@ -21,5 +21,30 @@ def stream_tumbling(t: Inputs) -> DataFrame:
     # the test log is written in one piece, so nothing in it may count as late
     counts = activity.tumbling_counts(log, "event_type", window="1 day", delay="2 days")
     activity.maintain(counts, table, scratch_path(t.spark, "progress"))
+    activity.compact(t.spark, table, "event_type")
     now = activity.current_counts(t.spark, table, "event_type")
     return now.select(F.date_format("window_start", "yyyy-MM-dd").alias("day"), "event_type", "n")
+
+
+@query(
+    "stream_sessions",
+    """WITH marked AS (
+         SELECT user_id, ts, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) < INTERVAL 12 HOUR THEN 0 ELSE 1 END AS fresh
+         FROM events
+       ), numbered AS (
+         SELECT user_id, ts, sum(fresh) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS session FROM marked
+       ), ended AS (
+         SELECT user_id, min(ts) AS first_ts, max(ts) + INTERVAL 12 HOUR AS end_ts, count(*) AS n FROM numbered GROUP BY user_id, session
+       )
+       SELECT user_id, strftime(first_ts, '%Y-%m-%d %H:%M:%S') AS session_start, strftime(end_ts, '%Y-%m-%d %H:%M:%S') AS session_end, n
+       FROM ended WHERE end_ts <= (SELECT max(ts) FROM events) - INTERVAL 2 DAY""",
+)
+def stream_sessions(t: Inputs) -> DataFrame:
+    """The sessions that are over for good: the watermark has passed their end."""
+    log = activity.read_log(t.spark, t.folder, t.table("events").schema, "events.parquet")
+    table = scratch_path(t.spark, "sessions")
+    activity.append(activity.sessions(log, "user_id", gap="12 hours", delay="2 days"), table, scratch_path(t.spark, "progress"))
+    second = lambda c: F.date_format(c, "yyyy-MM-dd HH:mm:ss")
+    return t.spark.read.parquet(table).select(
+        "user_id", second("session_start").alias("session_start"), second("session_end").alias("session_end"), "n"
+    )

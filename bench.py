@@ -20,6 +20,7 @@ HEADLINE = [
     "co_edges",
     "pagerank_undirected",
     "connected_components",
+    "communities",
     "community_orgs",
     "gapfilled_series",
     "forecast_rows",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import random
 from datetime import datetime, timedelta
 
@@ -93,6 +94,19 @@ def test_stream_equals_batch_and_drops_late_rows(spark, rows):
     activity.maintain(activity.tumbling_counts(log(), "kind"), table, progress)
     now = {(r.window_start, r.kind): r.n for r in activity.current_counts(spark, table, "kind").collect()}
     assert now[start, "a"] == 12 and now[start + timedelta(days=2), "a"] == 13
+    folders = lambda: sorted(f for f in os.listdir(table.removeprefix("file:")) if f.startswith("batch="))
+    assert len(folders()) > 1
+    for _ in range(2):
+        activity.compact(spark, table, "kind")
+        assert len(folders()) == 1
+        assert {(r.window_start, r.kind): r.n for r in activity.current_counts(spark, table, "kind").collect()} == now
+    # a later batch wins over the merged ones, and joins them
+    more = [(200 + i, start + timedelta(hours=72 + i), "a") for i in range(3)]
+    spark.createDataFrame(more, schema).coalesce(1).write.parquet(f"{folder}/p=2")
+    activity.maintain(activity.tumbling_counts(log(), "kind"), table, progress)
+    activity.compact(spark, table, "kind")
+    after = {(r.window_start, r.kind): r.n for r in activity.current_counts(spark, table, "kind").collect()}
+    assert after == {**now, (start + timedelta(days=3), "a"): 3} and len(folders()) == 1
 
 
 @pytest.fixture
