@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from adoptrend.operators.graph.core import SplitEdges, named, numbered, renumbered, settle, symmetric
 from adoptrend.operators.skew import HEAVY_ROWS, lookup
-from adoptrend.session import cut, discard
+from adoptrend.session import discard
 
 # pointer steps per round
 JUMPS = 3
@@ -46,13 +46,16 @@ def components(vertices: DataFrame, edges: DataFrame, max_rounds: int = 100, hub
         first = pointers
         onward = first.select(F.col("_tree").alias("_to"), F.col("_to").alias("_further"))
         for _ in range(JUMPS):
-            stepped = cut(lookup(pointers, onward, "_to", seen["trees"], hub_edges).select("_tree", F.col("_further").alias("_to")))
+            stepped = lookup(
+                pointers, onward, "_to", seen["trees"], hub_edges, ("_tree", F.col("_further").alias("_to"))
+            )
             if pointers is not first:
                 discard(pointers)
             pointers = stepped
-        moved = lookup(state.withColumnRenamed("component", "_tree"), pointers, "_tree", n, hub_edges)
-        before, state = state, cut(moved.select("id", F.col("_to").alias("component")))
-        discard(before, first, pointers)
+        labelled = state.withColumnRenamed("component", "_tree")
+        moved = lookup(labelled, pointers, "_tree", n, hub_edges, ("id", F.col("_to").alias("component")))
+        discard(state, first, pointers)
+        state = moved
     else:
         links.release()
         raise RuntimeError(f"components still changing after {max_rounds} rounds")
@@ -60,5 +63,5 @@ def components(vertices: DataFrame, edges: DataFrame, max_rounds: int = 100, hub
     if dict(vertices.dtypes)["id"] == "bigint":
         return state
     least = numbers.select(F.col("node").alias("component"), F.col("id").alias("_least"))
-    labelled = lookup(state, least, "component", n, hub_edges).select("id", F.col("_least").alias("component"))
+    labelled = lookup(state, least, "component", n, hub_edges, ("id", F.col("_least").alias("component")))
     return named(labelled, numbers, "component")

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from adoptrend.session import cut
+from adoptrend.session import cut, discard
 
 # A key is heavy when it has more than one row in HEAVY_SHARE. There can be no more than
 # HEAVY_SHARE such keys whatever the input, which bounds every broadcast below. A key with no more
@@ -25,14 +27,19 @@ def heavy_keys(df: DataFrame, key: str, total: int, least: int = HEAVY_ROWS) ->
     )
 
 
-def lookup(left: DataFrame, right: DataFrame, key: str, total: int, least: int = HEAVY_ROWS) -> DataFrame:
-    """Inner join of ``left``, of ``total`` rows, with a ``right`` side unique on ``key``.
+def lookup(
+    left: DataFrame, right: DataFrame, key: str, total: int, least: int = HEAVY_ROWS, columns: Sequence = ("*",)
+) -> DataFrame:
+    """``columns`` of the inner join of ``left``, of ``total`` rows, with a ``right`` side unique on ``key``.
 
     Rows of a heavy key meet their one partner through a broadcast of at most HEAVY_SHARE rows;
-    all others take the usual join. ``left`` is read three times and should be materialised.
+    all others take the usual join. ``left`` is read three times and should be materialised; the
+    result is.
     """
     heavy = cut(heavy_keys(left, key, total, least).select(key))
     partners = right.join(F.broadcast(heavy), key, "left_semi")
     split = left.join(F.broadcast(partners), key)
     usual = left.join(F.broadcast(heavy), key, "left_anti").join(right, key)
-    return split.unionByName(usual)
+    joined = cut(split.unionByName(usual).select(*columns))
+    discard(heavy)
+    return joined

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import itertools
+import os
 import random
 
 import numpy as np
@@ -9,6 +10,7 @@ import pytest
 from adoptrend.operators import actors
 from adoptrend.operators.graph import betweenness as between
 from adoptrend.operators.graph import community, components, core, rank
+from adoptrend.session import shared_dir
 
 TRIANGLES = [(1, 2), (2, 3), (1, 3), (3, 4), (4, 5), (5, 6), (4, 6)]
 
@@ -66,6 +68,50 @@ def test_pagerank_with_split_hubs(spark):
         assert [got[i] for i in ids] == pytest.approx(list(expected))
 
 
+def test_pagerank_keeps_to_its_vertices_and_converges(spark):
+    v = spark.createDataFrame([("a",), ("b",)], "id string")
+    _, e = graph(spark, [("a", "b"), ("b", "x")])
+    got = values(rank.pagerank(v, e))
+    assert set(got) == {"a", "b"} and sum(got.values()) == pytest.approx(1.0)
+    assert got["b"] == pytest.approx(0.649123, abs=1e-6)
+    edges = random_digraph(4)
+    expected = dense_pagerank(edges, 12, 300)
+    v, e = graph(spark, edges, range(12))
+    got = values(rank.pagerank(v, e, tol=1e-9))
+    assert [got[i] for i in range(12)] == pytest.approx(list(expected), abs=1e-8)
+    with pytest.raises(RuntimeError, match="still change"):
+        rank.pagerank(v, e, max_rounds=3)
+
+
+def test_pagerank_stops_alike_at_any_size(spark):
+    # many isolated vertices: the rule by vertex ends after a round or two, the total does not
+    edges = [(a, b, w) for a, b, w in random_digraph(4)]
+    v, e = graph(spark, edges, range(3000))
+    exact = dense_pagerank(edges, 3000, 300)
+    got = values(rank.pagerank(v, e, tol=1e-9))
+    assert max(abs(got[i] / exact[i] - 1) for i in range(12)) < 1e-6
+    loose = values(rank.pagerank(v, e, tol=1e-6, per_vertex=True))
+    assert max(abs(loose[i] / exact[i] - 1) for i in range(12)) > 1e-3
+
+
+def test_rounds_leave_no_tables(spark):
+    def tables():
+        return {f for top, _, _ in os.walk(shared_dir(spark).removeprefix("file:")) if (f := top) and os.path.basename(f).startswith("cut-")}
+
+    edges = [(f"n{a}", f"n{b}", w) for a, b, w in random_digraph(6)]
+    v, e = graph(spark, edges)
+    for run in (
+        lambda: rank.pagerank(v, e, iters=8),
+        lambda: components.components(v, e),
+        lambda: rank.hits(e, iters=6),
+    ):
+        before = tables()
+        kept = run()
+        # numbers, the last round's table, and what the last lookups read
+        assert len(tables() - before) <= 6
+        assert kept.count() == v.count()
+
+
 def test_split_edges_marks_heavy_sources(spark):
     _, e = graph(spark, [(0, i) for i in range(1, 40)] + [(50, 51)])
     links = core.SplitEdges(e, 10)
@@ -142,6 +188,14 @@ def test_betweenness_directed_ties_and_modes(spark):
     tied = [("a", "b", 1), ("b", "c", 1), ("a", "c", 2)]
     assert values(between.betweenness(*graph(spark, tied)))["b"] == pytest.approx(0.25)
     assert values(between.betweenness(*graph(spark, free), weight_mode="inverse"))["b"] == 0
+    # routes that differ by one in a hundred thousand are no tie
+    strong = [("s", "a", 100_000), ("a", "t", 100_000), ("s", "b", 100_001), ("b", "t", 100_001)]
+    got = values(between.betweenness(*graph(spark, strong), weight_mode="inverse", normalised=False))
+    assert (got["a"], got["b"]) == (0.0, 1.0)
+    # distances far below any fixed tolerance still lead away from the source
+    tiny = [("a", "b", 1e-12), ("b", "c", 1e-12), ("c", "a", 1e-12), ("c", "d", 1e-12)]
+    got = values(between.betweenness(*graph(spark, tiny), normalised=False))
+    assert got == {"a": 1.0, "b": 2.0, "c": 3.0, "d": 0.0}
 
 
 @pytest.mark.parametrize("directed", [True, False])
@@ -151,7 +205,7 @@ def test_betweenness_against_all_paths(spark, directed):
         edges = list({(min(a, b), max(a, b)): (min(a, b), max(a, b), w) for a, b, w in edges}.values())
     v, e = graph(spark, edges)
     expected = brute_betweenness(sorted({x for a, b, _ in edges for x in (a, b)}), edges, directed)
-    got = values(between.betweenness(v, e, directed=directed, hub_edges=2))
+    got = values(between.betweenness(v, e, directed=directed, hub_edges=2, block=3))
     assert got == pytest.approx(expected)
     whole = values(between.betweenness(v, e, directed=directed, sources=v))
     assert whole == pytest.approx(expected)
