@@ -135,7 +135,6 @@ def top_scores(vectors: DataFrame, queries: DataFrame, k: int = TOP, shard: int
     smallest vector. Where vectors differ in length the missing components are 0. With fewer than k
     candidates all are listed; no rows give no rows.
     """
-    small_batches(vectors.sparkSession, 4)  # a row holds a whole shard
     there = F.col("vec_id").isNotNull() & F.col("x").isNotNull()
     asked = cut(queries.where(there).groupBy("vec_id").agg(F.min("x").alias("x")))
     held = cut(vectors.where(there).select("vec_id", "x"))
@@ -145,9 +144,13 @@ def top_scores(vectors: DataFrame, queries: DataFrame, k: int = TOP, shard: int
     visits = blocks(asked, -(-asked.count() // block) or 1, "block", "queries", "asked").withColumn(
         "shard", F.explode(F.sequence(F.lit(0), F.lit(n_shards - 1)).cast("array<long>"))
     )
-    found = visits.join(shards, "shard").mapInPandas(
-        lambda batches: _searched(batches, k), "query_id long, vec_id long, score long"
+    small_batches(vectors.sparkSession, 4)  # a row holds a whole shard
+    found = cut(
+        visits.join(shards, "shard").mapInPandas(
+            lambda batches: _searched(batches, k), "query_id long, vec_id long, score long"
+        )
     )
+    small_batches(vectors.sparkSession)
     first = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     return (
         found.withColumn("rank", F.row_number().over(first))
