@@ -7,7 +7,6 @@ import os
 import pytest
 
 import __spark_entry__ as contract
-from adoptrend.plans.catalog import SQL
 from tests.parity import compare, oracle
 
 FOLDER = "/root/testdata/sf0.01"
@@ -15,6 +14,8 @@ CHOSEN = [
     "monthly_metrics", "mom_growth", "scan_event_range", "scan_hash_sample", "ingest_labels", "json_unnest",
     "mine_pairs", "co_edges", "migration_edges", "edges_by_period", "connected_components", "pagerank_undirected",
     "gapfilled_series", "hw_fixed_params", "growth_features", "describe_actors", "community_orgs", "stream_tumbling",
+    "forecast_long", "forecast_check", "clusters_check", "pca_check", "community_flow", "stream_sessions",
+    "influential_communities", "betweenness_inverse", "pagerank_converged",
 ]
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="test tables are absent")
@@ -31,21 +32,6 @@ def test_agrees_with_sql(spark, connection, name):
     assert verdict == "ok", note
 
 
-SMALL = "/root/testdata/sf0.001"
-
-
-@pytest.fixture(scope="module")
-def small_connection():
-    return oracle(SMALL)
-
-
-@pytest.mark.parametrize("name", sorted(set(SQL) - set(CHOSEN)))
-def test_agrees_with_sql_on_few_rows(spark, small_connection, name):
-    verdict, note = compare(spark, small_connection, name, SMALL)
-    # thresholds that bite at the larger size may leave nothing here
-    assert verdict in ("ok", "EMPTY"), note
-
-
 def test_contract(spark):
     flagship = contract.entry(spark)
     assert flagship.columns == ["language", "year_month", "total_bytes", "repo_count", "commit_count"]
