@@ -38,27 +38,27 @@ CONFIDENT = 0.8
 EVIDENCE = 6.6
 ROUNDS = 3
 
-MATCH = "array<struct<start:int,value:string,before:string,after:string>>"
+# what may stand between an identifier and the words around it
+OPENING = "\"'(<[{"
+CLOSING = "\"')>]},.;:!?"
+
+MATCH = "array<struct<start:int,value:string>>"
 
 
 def matches(body: Column, pattern: str, there: Column) -> Column:
-    """Array of (start, value, before, after), leftmost and non-overlapping; offsets in code points.
+    """Array of (start, value), leftmost and non-overlapping; offsets in code points.
 
     Offsets come from the lengths of the matches and of what is between them. ``there`` is a cheap
     test that a text without matches fails.
     """
     gaps = F.split(body, pattern, -1)
     values = F.regexp_extract_all(body, F.lit(pattern), F.lit(0))
-    following = F.concat(F.slice(gaps, 2, F.size(gaps)), F.array(F.lit("")))
-    rows = F.arrays_zip(gaps.alias("gap"), F.concat(values, F.array(F.lit(""))).alias("value"), following.alias("next"))
+    rows = F.arrays_zip(gaps.alias("gap"), F.concat(values, F.array(F.lit(""))).alias("value"))
     start = F.struct(F.lit(0).alias("at"), F.array().cast(MATCH).alias("found"))
 
     def step(seen: Column, row: Column) -> Column:
         begin = seen["at"] + F.length(row["gap"])
-        match = F.struct(
-            begin.alias("start"), row["value"].alias("value"),
-            F.substring(row["gap"], -CONTEXT, CONTEXT).alias("before"), F.substring(row["next"], 1, CONTEXT).alias("after"),
-        )
+        match = F.struct(begin.alias("start"), row["value"].alias("value"))
         return F.struct(
             (begin + F.length(row["value"])).alias("at"),
             F.when(row["value"] == "", seen["found"]).otherwise(F.concat(seen["found"], F.array(match))).alias("found"),
@@ -67,6 +67,13 @@ def matches(body: Column, pattern: str, there: Column) -> Column:
     return F.when(there, F.aggregate(rows, start, step, lambda seen: seen["found"])).otherwise(F.array().cast(MATCH))
 
 
+def around(body: Column, start: Column, end: Column) -> list[Column]:
+    """The text on both sides of a match, whatever other matches are in it, without brackets and stops next to the match."""
+    first = F.greatest(start - CONTEXT, F.lit(0))
+    before, after = F.substring(body, first + 1, start - first), F.substring(body, end + 1, F.lit(CONTEXT))
+    return [F.rtrim(before, F.lit(OPENING)).alias("before"), F.ltrim(after, F.lit(CLOSING)).alias("after")]
+
+
 def digits(value: Column) -> Column:
     return F.regexp_replace(value, "[^0-9]", "")
 
@@ -88,7 +95,7 @@ def forms(body: Column) -> Column:
             F.filter(rows, lambda m: right(m["value"])),
             lambda m: F.struct(
                 m["start"].alias("start"), F.lit(kind).alias("kind"), (m["start"] + F.length(m["value"])).alias("end"),
-                m["value"].alias("value"), m["before"].alias("before"), m["after"].alias("after"),
+                m["value"].alias("value"), *around(body, m["start"], m["start"] + F.length(m["value"])),
             ),
         )
 
@@ -112,13 +119,20 @@ def candidates(body: Column, base: Column) -> Column:
         )
         return F.struct(
             (m["start"] + lead).alias("start"), (m["start"] + lead + F.length(value)).alias("end"),
-            value.alias("value"), m["before"].alias("before"), m["after"].alias("after"), kinds.alias("kinds"),
+            value.alias("value"), kinds.alias("kinds"),
         )
 
     # no identifier of these kinds is as long as a line
     short = F.filter(matches(body, TOKEN, body.rlike("[0-9@]")), lambda m: F.length(m["value"]) <= 80)
     alike = F.filter(F.transform(short, core), lambda c: F.size(c["kinds"]) > 0)
-    return F.filter(alike, lambda c: ~F.exists(base, lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"])))
+    outside = F.filter(alike, lambda c: ~F.exists(base, lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"])))
+    return F.transform(
+        outside,
+        lambda c: F.struct(
+            c["start"].alias("start"), c["end"].alias("end"), c["value"].alias("value"),
+            *around(body, c["start"], c["end"]), c["kinds"].alias("kinds"),
+        ),
+    )
 
 
 def contexts(before: Column, after: Column) -> Column:

@@ -112,3 +112,13 @@ def test_copies_do_not_make_a_pattern(spark):
 def test_digest_of_no_spans(spark):
     row = pii.personal_data(documents(spark, [(1, None)])).select(pii.listed("base").alias("b"), pii.listed("spans").alias("s")).first()
     assert (row.b, row.s) == ("", "") and hashlib.sha256(b"").hexdigest().startswith("e3b0")
+
+
+def test_a_number_beside_a_candidate_does_not_end_its_context(spark):
+    pick = random.Random(9)
+    names = ["".join(pick.choice("abcdefgh") for _ in range(9)) for _ in range(60)]
+    rows = [(i, f"Email {i % 7}: {n}@firma.de (since 20{i % 90 + 10})") for i, n in enumerate(names)]
+    rows += [(100 + i, f"handle {i}: {n}@here since then") for i, n in enumerate(names)]
+    rows += [(900, "Email 1: jörg@firma 2 times"), (901, "handle 1: jörg@office 2 times")]
+    found = {r.doc_id: r for r in pii.personal_data(documents(spark, rows)).collect()}
+    assert [tuple(s) for s in found[900].spans] == [(9, 0, 19)] and found[901].spans == []
