@@ -28,6 +28,8 @@ CARD = r"[0-9](?:[\x20-]?[0-9])++"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 # a token that may be an identifier: a digit or an at sign in it
 TOKEN = r"(?<![^\s])[^\s0-9@]*+[0-9@][^\s]*+"
+# groups of digits joined by single spaces, signs and brackets: a number as people write it
+GROUPS = r"(?<![0-9A-Za-z_@])\(?[0-9]++(?:(?:\)[\x20.-]?|[\x20.-]?\(|[\x20.-])[0-9]++)++"
 BYTE = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]?[0-9])"
 
 # characters of context kept on each side of a match
@@ -103,28 +105,38 @@ def forms(body: Column) -> Column:
 
 
 def candidates(body: Column, base: Column) -> Column:
-    """Tokens outside the base that look like an identifier: (start, end, value, before, after, kinds)."""
+    """What looks like an identifier outside the base: (start, end, value, before, after, kinds).
 
-    def core(m: Column) -> Column:
-        lead = F.length(F.regexp_extract(m["value"], r"""^["'(<\[{]*""", 0))
-        value = F.regexp_extract(m["value"], r"""^["'(<\[{]*+(.*?)["')>\]},.;:!?]*$""", 1)
-        n = F.length(digits(value))
-        kinds = F.array_compact(
-            F.array(
-                F.when(value.rlike("^[^@]+@[^@]+$"), F.lit(0)),
-                F.when(value.rlike("^[0-9a-fA-F]{1,4}(?:[.:][0-9a-fA-F]{0,4}){3,7}$"), F.lit(1)),
-                F.when(value.rlike("^[0-9-]+$") & n.between(12, 19), F.lit(2)),
-                F.when(value.rlike("^[0-9().-]+$") & n.between(7, 15), F.lit(3)),
-            )
-        )
-        return F.struct(
-            (m["start"] + lead).alias("start"), (m["start"] + lead + F.length(value)).alias("end"),
-            value.alias("value"), kinds.alias("kinds"),
-        )
+    Tokens, and numbers written in groups; a token that is part of such a number is a candidate, too.
+    """
+
+    def placed(start: Column, value: Column, number: list[Column]) -> Column:
+        kinds = F.array_compact(F.array(*number))
+        return F.struct(start.alias("start"), (start + F.length(value)).alias("end"), value.alias("value"), kinds.alias("kinds"))
 
-    # no identifier of these kinds is as long as a line
-    short = F.filter(matches(body, TOKEN, body.rlike("[0-9@]")), lambda m: F.length(m["value"]) <= 80)
-    alike = F.filter(F.transform(short, core), lambda c: F.size(c["kinds"]) > 0)
+    def core(m: Column) -> Column:
+        opened = F.ltrim(m["value"], F.lit(OPENING))
+        value, n = F.rtrim(opened, F.lit(CLOSING)), F.length(digits(m["value"]))
+        kinds = [
+            F.when(value.rlike("^[^@]+@[^@]+$"), F.lit(0)),
+            F.when(value.rlike("^[0-9a-fA-F]{1,4}(?:[.:][0-9a-fA-F]{0,4}){3,7}$"), F.lit(1)),
+            F.when(value.rlike("^[0-9-]+$") & n.between(12, 19), F.lit(2)),
+            F.when(value.rlike("^[0-9().-]+$") & n.between(7, 15), F.lit(3)),
+        ]
+        return placed(m["start"] + F.length(m["value"]) - F.length(opened), value, kinds)
+
+    def grouped(m: Column) -> Column:
+        alone = m["value"].startswith("(") & ~m["value"].contains(")")  # its other bracket is behind the number
+        value, n = F.when(alone, F.substring(m["value"], 2, 1 << 30)).otherwise(m["value"]), F.length(digits(m["value"]))
+        kinds = [F.when(value.rlike("^[0-9\\x20.-]+$") & n.between(12, 19), F.lit(2)), F.when(n.between(7, 15), F.lit(3))]
+        return placed(m["start"] + alone.cast("int"), value, kinds)
+
+    there = body.rlike("[0-9@]")
+    tokens = F.transform(matches(body, TOKEN, there), core)
+    numbers = F.transform(matches(body, GROUPS, there), grouped)
+    tokens, numbers = (F.filter(found, lambda c: F.size(c["kinds"]) > 0) for found in (tokens, numbers))
+    others = F.filter(numbers, lambda c: ~F.exists(tokens, lambda t: (t["start"] == c["start"]) & (t["end"] == c["end"])))
+    alike = F.concat(tokens, others)
     outside = F.filter(alike, lambda c: ~F.exists(base, lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"])))
     return F.transform(
         outside,
@@ -135,6 +147,18 @@ def candidates(body: Column, base: Column) -> Column:
     )
 
 
+def longest(spans: Column) -> Column:
+    """Spans without those that overlap a longer one; of equally long ones the first stays."""
+
+    def before(o: Column, s: Column) -> Column:
+        wider = (o["end"] - o["start"]) - (s["end"] - s["start"])
+        return (wider > 0) | ((wider == 0) & (o["start"] < s["start"]))
+
+    return F.filter(
+        spans, lambda s: ~F.exists(spans, lambda o: (o["start"] < s["end"]) & (s["start"] < o["end"]) & before(o, s))
+    )
+
+
 def contexts(before: Column, after: Column) -> Column:
     """The lexical patterns around a match: its two words before, and the words next to it."""
 
@@ -238,7 +262,7 @@ def personal_data(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", r
     )
     added = best.groupBy("row").agg(
         F.collect_list(F.struct("start", (-F.col("best.kind")).alias("kind"), "end")).alias("added")
-    )
+    ).withColumn("added", longest(F.col("added")))
     base = F.transform("base", lambda m: F.struct(m["start"].alias("start"), m["kind"].alias("kind"), m["end"].alias("end")))
     every = F.when(F.col("added").isNull(), base).otherwise(F.array_sort(F.concat(base, F.col("added"))))
     return read.join(added, "row", "left").select("doc_id", base.alias("base"), every.alias("spans"))

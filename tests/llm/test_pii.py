@@ -122,3 +122,20 @@ def test_a_number_beside_a_candidate_does_not_end_its_context(spark):
     rows += [(900, "Email 1: jörg@firma 2 times"), (901, "handle 1: jörg@office 2 times")]
     found = {r.doc_id: r for r in pii.personal_data(documents(spark, rows)).collect()}
     assert [tuple(s) for s in found[900].spans] == [(9, 0, 19)] and found[901].spans == []
+
+
+def test_numbers_written_in_groups_are_found_as_a_whole(spark):
+    rows, _ = corpus()
+    pick = random.Random(4)
+    for i in range(60):
+        rows.append((2000 + i, f"please call me at +1 212 555 {pick.randrange(1000, 9999)} today"))
+    unseen = {
+        7000: ("my card number 4111 1111 1111 1112, thanks", "4111 1111 1111 1112", 2),
+        7001: ("please call me at (743) 555-3824 today", "(743) 555-3824", 3),
+        7002: ("please call me at 020 7946 0958 today", "020 7946 0958", 3),
+        7003: ("please call me at (020.7946.0959) today", "020.7946.0959", 3),
+    }
+    found = {r.doc_id: r for r in pii.personal_data(documents(spark, rows + [(i, t) for i, (t, _, _) in unseen.items()])).collect()}
+    for i, (text, value, kind) in unseen.items():
+        start = text.index(value)
+        assert [tuple(s) for s in found[i].spans] == [(start, kind, start + len(value))], text
