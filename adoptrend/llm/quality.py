@@ -1,7 +1,7 @@
 """Quality by a vote of the nearest labelled documents in a latent-semantic space.
 
 A document is a bag of word shapes (letters, capitals, digits and signs in their order, runs
-shortened) and of repetitions. Square roots of shares, weighted by inverse document frequency, are
+shortened, long ones in consecutive pieces) and of repetitions. Square roots of shares, weighted by inverse document frequency, are
 projected on the leading right singular vectors of the labelled rows. The labelled vectors, of
 bounded number and width, are broadcast; every document is compared with all of them, in blocks,
 and the nearest vote with their similarity as weight.
@@ -28,6 +28,8 @@ LABELLED = 8192
 FEATURES = 2048
 LATENT = 32
 NEIGHBOURS = 5
+# symbols of a shape that make one feature
+PIECE = 32
 CUT = 0.3
 # the vote of the overall share of label 1, in units of one neighbour at similarity 1
 PRIOR = 1.0
@@ -43,15 +45,16 @@ def bucket(name: bytes) -> int:
     return crc32(name) % FEATURES
 
 
-_shapes: dict[bytes, int] = {}
+_shapes: dict[bytes, list[int]] = {}
 
 
-def shape_bucket(shape: bytes) -> int:
-    """Feature of a shape; a run of one class counts as two of it."""
+def shape_buckets(shape: bytes) -> list[int]:
+    """Features of a shape, one for each piece of it; a run of one class counts as two of it."""
     found = _shapes.get(shape)
     if found is None:
-        found = bucket(RUN.sub(rb"\1\1", shape[:4096])[:32])
-        if len(_shapes) < 100_000:
+        short = RUN.sub(rb"\1\1", shape)
+        found = [crc32(short[i : i + PIECE]) % FEATURES for i in range(0, len(short), PIECE)]
+        if len(shape) <= 4096 and len(_shapes) < 100_000:
             _shapes[shape] = found
     return found
 
@@ -63,7 +66,8 @@ def features(text: bytes | None) -> tuple[np.ndarray, np.ndarray]:
         return np.zeros(0, np.int32), np.zeros(0, np.float32)
     counts: Counter[int] = Counter()
     for shape, n in Counter(text.translate(CLASSES).split()).items():
-        counts[shape_bucket(shape)] += n
+        for found in shape_buckets(shape):
+            counts[found] += n
     counts[bucket(b" repeats 1")] += sum(map(eq, words, words[1:]))
     counts[bucket(b" repeats 2")] += sum(map(eq, words, words[2:]))
     counts[bucket(b" seen before")] += len(words) - len(set(words))

@@ -101,3 +101,9 @@ def test_held_out_accuracy(spark, operator, label):
     both = operator.scored(docs, labels).join(labels, "doc_id").where("held_out")
     row = both.agg(F.count("*").alias("n"), F.avg((F.col("predicted") == F.col(label)).cast("double")).alias("right")).first()
     assert row.n > 50 and row.right > 0.9
+
+
+def test_the_end_of_a_long_word_counts():
+    clean, junk = "漢字1、" * 2000, "a|B|7|" * 2000
+    start, whole = (set(quality.features(t.encode())[0].tolist()) for t in (clean, clean + junk))
+    assert whole - start, "what follows the first symbols has features of its own"
