@@ -10,6 +10,7 @@ import pytest
 from adoptrend.operators import actors
 from adoptrend.operators.graph import betweenness as between
 from adoptrend.operators.graph import community, components, core, rank
+from adoptrend.plans import graphs
 from adoptrend.session import shared_dir
 
 TRIANGLES = [(1, 2), (2, 3), (1, 3), (3, 4), (4, 5), (5, 6), (4, 6)]
@@ -268,3 +269,13 @@ def test_co_edges(spark, rows):
     assert rows(actors.top_actors(stats, 2), "dev_id", "distinct_repos") == [("a", 2), ("h0", 2)]
     assert rows(actors.top_actors(stats, 4), "dev_id") == [("a",), ("b",), ("h0",), ("h1",)]
     assert actors.top_actors(stats, 0).count() == 0 and actors.top_actors(stats, 99).count() == stats.count()
+
+
+def test_registered_communities_end_when_no_vertex_wants_to_move(monkeypatch):
+    class Tables:
+        actor_vertices = actor_graph = None
+
+    given = []
+    monkeypatch.setattr(community, "communities", lambda *tables, **bounds: given.append(bounds))
+    graphs.found_communities(Tables())
+    assert given == [{}], "no gain thresholds"
