@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,6 +24,23 @@ def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
 
 
+@contextmanager
+def arrow_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> Iterator[None]:
+    """Arrow batches of at most ``rows`` rows and 16 MB for what is written inside; the caller's settings come back."""
+    ours = {
+        "spark.sql.execution.arrow.maxRecordsPerBatch": str(rows),
+        "spark.sql.execution.arrow.maxBytesPerBatch": str(16 << 20),
+    }
+    before = {key: spark.conf.get(key) for key in ours}
+    try:
+        for key, value in ours.items():
+            spark.conf.set(key, value)
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
 def whole(text: str = "text") -> Column:
     """The text, an absent one as the empty text."""
     return F.coalesce(F.col(text), F.lit(""))

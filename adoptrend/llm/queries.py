@@ -11,7 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from adoptrend.llm import exact_dedup, mixing, packing, pii, quality, simhash, token_counts, topk, toxicity, url_filter
+from adoptrend.llm import (
+    exact_dedup, mixing, packing, pii, quality, reversed_search, simhash, token_counts, topk, toxicity, url_filter,
+)
 from adoptrend.llm.base import table
 from adoptrend.session import tune
 
@@ -202,3 +204,37 @@ def op9_quality(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.scored(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query
+def op11_reversed_search(spark: SparkSession, folder: str) -> DataFrame:
+    return reversed_search.ranked(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+SQL["op11_reversed_search"] = r"""
+WITH i AS (
+  SELECT item_id, min(text) AS text FROM benchmark WHERE item_id IS NOT NULL GROUP BY item_id
+), q AS (
+  SELECT item_id, term, count(*) AS times FROM (SELECT item_id, unnest({terms}) AS term FROM i) GROUP BY ALL
+), d AS (
+  SELECT row_number() OVER () AS nr, doc_id, {terms} AS terms FROM documents
+), c AS (
+  SELECT count(*) AS docs, sum(len(terms))::BIGINT AS total FROM d WHERE len(terms) > 0
+), p AS (
+  SELECT nr, doc_id, n, term, count(*) AS tf
+  FROM (SELECT nr, doc_id, len(terms) AS n, unnest(terms) AS term FROM d) GROUP BY ALL
+), w AS (
+  SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+  FROM p, c GROUP BY term, docs
+), s AS (
+  SELECT item_id, nr, doc_id,
+    sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * docs) // total))))::BIGINT AS score
+  FROM q JOIN p USING (term) JOIN w USING (term), c GROUP BY ALL HAVING score > 0
+)
+SELECT item_id, (row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST))::INTEGER AS rank, doc_id, score
+FROM s QUALIFY rank <= 20
+""".replace(
+    "{terms}",
+    r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')""",
+)
