@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adoptrend.llm import (
-    exact_dedup, mixing, packing, pii, quality, reversed_search, simhash, token_counts, topk, toxicity, url_filter,
+    exact_dedup, mixing, packing, pii, prefix_trie, quality, reversed_search, simhash, token_counts, topk, toxicity, url_filter,
 )
 from adoptrend.llm.base import table
 from adoptrend.session import tune
@@ -238,3 +238,45 @@ FROM s QUALIFY rank <= 20
     r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
       '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')""",
 )
+
+
+@query
+def op12_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    listed = prefix_trie.rebuilt(prefix_trie.sequences(table(spark, folder, "conversations")))
+    return prefix_trie.ends_digest(*prefix_trie.prefix_trie(listed))
+
+
+SQL["op12_prefix_trie"] = r"""
+WITH bytes AS (
+  SELECT i, list_reduce([i::BIGINT] || range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS entry
+  FROM range(256) b(i)
+), t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL
+), l AS (
+  SELECT conv_id, list({'role': role, 'text': text} ORDER BY turn NULLS FIRST, role, sha256(strlen(role) || ':' || role || text)) AS turns
+  FROM t GROUP BY conv_id
+), h AS (
+  SELECT conv_id, turns, xor(list_reduce([4294967295] || list_transform(string_split(conv_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT),
+      lambda c, b: xor(c >> 8, entries[(xor(c, b) & 255) + 1])), 4294967295) % 4 AS h
+  FROM l, (SELECT list(entry ORDER BY i) AS entries FROM bytes)
+), r AS (
+  SELECT h.conv_id, CASE WHEN l.turns IS NULL THEN h.turns[h + 1 :] ELSE l.turns[1 : h] || h.turns[h + 1 :] END AS turns
+  FROM h LEFT JOIN l ON l.conv_id = h.conv_id - h.conv_id % 20
+), m AS (
+  SELECT conv_id, turns, d, turns[1 : d] AS path FROM (SELECT conv_id, turns, unnest(range(len(turns) + 1)) AS d FROM r)
+), n AS (
+  SELECT d, path, min(conv_id) AS conv_id, count(*) AS n_convs,
+    sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (len(turns) = d), '')) AS ends_sha256,
+    (count(*) - 1) * CASE WHEN d > 0 THEN len(regexp_extract_all(path[d].text, '[^\x20\x09-\x0D]+')) ELSE 0 END AS saved
+  FROM m GROUP BY d, path
+), k AS (
+  SELECT d - 1 AS d, path[1 : d - 1] AS path, count(*) AS n_children FROM n WHERE d > 0 GROUP BY ALL
+), v AS (
+  SELECT n.*, coalesce(n_children, 0) AS n_children FROM n LEFT JOIN k ON n.d = k.d AND n.path = k.path
+), u AS (
+  SELECT a AS d, path[1 : a] AS path, sum(saved)::BIGINT AS saved_tokens, count(*) FILTER (n_children = 0) AS n_leaves
+  FROM (SELECT path, saved, n_children, unnest(range(d + 1)) AS a FROM v) GROUP BY ALL
+)
+SELECT v.conv_id, v.d AS depth, p.conv_id AS parent_conv_id, v.n_convs, v.n_children, n_leaves, saved_tokens, v.ends_sha256
+FROM v JOIN u ON v.d = u.d AND v.path = u.path LEFT JOIN n p ON p.d = v.d - 1 AND p.path = v.path[1 : v.d - 1]
+"""
