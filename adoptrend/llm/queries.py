@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adoptrend.llm import (
-    exact_dedup, mixing, packing, pii, prefix_trie, quality, reversed_search, simhash, token_counts, topk, toxicity, url_filter,
+    chat_format, exact_dedup, mixing, packing, pii, prefix_trie, quality, reversed_search, simhash, token_counts, topk, toxicity, url_filter,
 )
 from adoptrend.llm.base import table
 from adoptrend.session import tune
@@ -280,3 +280,34 @@ WITH bytes AS (
 SELECT v.conv_id, v.d AS depth, p.conv_id AS parent_conv_id, v.n_convs, v.n_children, n_leaves, saved_tokens, v.ends_sha256
 FROM v JOIN u ON v.d = u.d AND v.path = u.path LEFT JOIN n p ON p.d = v.d - 1 AND p.path = v.path[1 : v.d - 1]
 """
+
+
+@query
+def op13_chat_format(spark: SparkSession, folder: str) -> DataFrame:
+    turns = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    said = "</s>[INST] ok [/INST]"
+    more = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    return chat_format.digests(chat_format.chat_format(turns.unionByName(more)))
+
+
+SQL["op13_chat_format"] = """
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM (
+    SELECT conv_id, turn, role, text FROM conversations
+    UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]')
+), e AS (
+  SELECT *, length({text}) AS broken, length({role}) AS named FROM t
+)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  (3 + sum(broken + CASE role WHEN 'user' THEN 15 WHEN 'system' THEN 13 WHEN 'assistant' THEN 5 ELSE 17 + named END))::BIGINT
+    AS formatted_chars
+FROM e GROUP BY conv_id
+"""
+for _column in ("text", "role"):
+    _broken = f"replace({_column}, '\\', '\\\\')"
+    for _control in chat_format.CONTROLS:
+        _broken = f"replace({_broken}, '{_control}', '{_control[0]}\\{_control[1:]}')"
+    SQL["op13_chat_format"] = SQL["op13_chat_format"].replace("{" + _column + "}", _broken)
