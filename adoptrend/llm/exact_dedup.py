@@ -2,8 +2,8 @@
 
 A text is cut where its own content says so. Every distinct chunk gets an identifier, and a text
 becomes the ordered list of its identifiers, its recipe: texts are equal when their recipes are.
-A chunk is moved once for each partition that holds it, to verify its identifier; from then on
-only recipes move, however long the documents are.
+To verify an identifier, the SHA-256 of its chunk moves once for each partition that holds it; apart
+from that only recipes move, however long the documents are.
 """
 
 from __future__ import annotations
@@ -26,8 +26,8 @@ def chunks(text: Column) -> Column:
 
 
 def _collided(pieces: DataFrame) -> DataFrame:
-    """Codes that stand for more than one chunk, from a comparison of whole chunks."""
-    contents = pieces.groupBy("code", "chunk").agg(F.count("*").alias("uses"))
+    """Codes that stand for more than one chunk, by the SHA-256 of every distinct chunk."""
+    contents = pieces.groupBy("code", "digest").agg(F.count("*").alias("uses"))
     return contents.groupBy("code").agg(F.count("*").alias("contents")).where("contents > 1").select("code")
 
 
@@ -47,7 +47,9 @@ def recipes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", code=F.
             F.transform("chunks", lambda c: F.struct(code(c).alias("code"), F.lit(0).alias("version"))).alias("recipe"),
         )
     )
-    pieces = parts.select(F.explode("chunks").alias("chunk")).select(code("chunk").alias("code"), "chunk")
+    pieces = parts.select(F.explode("chunks").alias("chunk")).select(
+        code("chunk").alias("code"), F.unhex(F.sha2("chunk", 256)).alias("digest")
+    )
     shared = cut(_collided(pieces))
     if shared.isEmpty():
         return listed
@@ -105,25 +107,22 @@ def duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", code
 
 def deduplicate(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """The documents that stay, with all their columns and whatever those are called."""
-    stays = (
+    groups = cut(
         duplicates(docs, text, doc_id)
         .groupBy(F.col("doc_id").alias("of"), F.col("text_sha256").alias("sha"))
         .agg(F.count("*").alias("n"), F.max("kept").alias("kept"))
-        .where("kept")
+        .where("n > 1 OR NOT kept")
     )
-    stays = cut(stays)
     row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
     keyed = row.withColumn("id", F.col(f"doc.`{doc_id}`")).withColumn(
         "digest", F.sha2(F.coalesce(F.col(f"doc.`{text}`"), F.lit("")), 256)
     )
-
-    def of(chosen: DataFrame) -> DataFrame:
-        return keyed.join(chosen, F.col("id").eqNullSafe(F.col("of")) & (F.col("digest") == F.col("sha")), "left_semi")
-
-    kept = of(stays.where("n = 1")).select("doc.*")
-    repeated = stays.where("n > 1")
+    same = F.col("id").eqNullSafe(F.col("of")) & (F.col("digest") == F.col("sha"))
+    # the list of rows that go is the shorter one, so that the texts can often stay where they are
+    kept = keyed.join(groups, same, "left_anti").select("doc.*")
+    repeated = groups.where("kept")
     if repeated.isEmpty():
         return kept
     # rows with one id and one text: any one of them
-    one = of(repeated).groupBy("id", "digest").agg(F.first("doc").alias("doc"))
+    one = keyed.join(repeated, same, "left_semi").groupBy("id", "digest").agg(F.first("doc").alias("doc"))
     return kept.unionAll(one.select("doc.*"))

@@ -7,9 +7,10 @@ import pytest
 
 import __spark_entry__ as contract
 import corpus_pipeline
-from adoptrend.llm import mixing, queries, simhash
+from adoptrend.llm import mixing, queries
 from adoptrend.session import cut
 from tests.llm.test_packing import check
+from tests.llm.test_similar import kept as kept_by_shingles
 from tests.parity import compare, oracle
 
 FOLDER = "/root/testdata/sf0.01"
@@ -34,14 +35,9 @@ def test_stages(spark):
     for r in good:
         want[r[text]] = max(want.get(r[text], r), r)
     assert sorted(distinct) == sorted(want.values())
-    # linked fingerprints: the smallest id stays
-    fps = [(r[0], simhash.fingerprint(r[text].encode())) for r in sorted(distinct)]
-    group = {}
-    for i, (doc_id, a) in enumerate(fps):
-        near = {group[j] for j, b in fps[:i] if (a ^ b).bit_count() <= 2}
-        group[doc_id] = min(near, default=doc_id)
-        group = {k: group[doc_id] if g in near else g for k, g in group.items()}
-    assert sorted(apart) == sorted(r for r in distinct if group[r[0]] == r[0])
+    # five-word shingles with a similarity of 0.8 or more: the smallest id stays
+    stays = kept_by_shingles([(r[0], r[text]) for r in distinct])
+    assert sorted(apart) == sorted(r for r in distinct if r[0] in stays)
     # the mix takes documents as often as its operator says
     taken = {r.doc_id: r.epochs + r.extra for r in mixing.takes(seen[3]).where("size > 0").collect()}
     assert Counter(r[0] for r in mixed) == Counter({i: n for i, n in taken.items() if n})
@@ -53,7 +49,7 @@ def test_stages(spark):
 
 def test_registered():
     names = contract.queries()
-    assert all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 11)) and "pipeline" in names
+    assert all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 14)) and "pipeline" in names
     assert set(queries.SQL) <= set(contract.oracle_sql())
 
 
