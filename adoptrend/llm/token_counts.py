@@ -2,9 +2,10 @@
 
 A text's count is the sum over its words (runs between white space), as no pre-token, merge or
 normalisation reaches over white space. The first tier is a compact broadcast table with the
-counts of frequent words, found in one pass by bounded sketches that are merged as they are. Words
-it lacks are counted by the tokenizer's library once and kept in a bounded cache of each Python
-worker. No word is ever shuffled by key.
+counts of frequent words, found in one pass by bounded sketches that are merged as they are. The words
+of a batch that it lacks go to the tokenizer's library together, joined by spaces, and are counted by
+where their tokens begin; they are kept in a bounded cache of each Python worker. No word is ever
+shuffled by key.
 """
 
 from __future__ import annotations
@@ -17,9 +18,9 @@ from functools import cache
 from heapq import nlargest
 from itertools import islice
 
+import numpy as np
 import pandas as pd
 import public_tokenizers
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -43,8 +44,8 @@ LONG = 64
 # Python's split() also splits at these, the library doesn't
 SEPARATORS = re.compile("[\x1c-\x1f]")
 BLANK = re.compile("[\t-\r \x85\xa0  -     　]+")
-# fixed value: the vocabulary's split into pre-tokens
-PRETOKEN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+# characters of words encoded in one call
+JOINED = 1 << 16
 
 
 def words(text: str) -> list[str]:
@@ -56,59 +57,78 @@ def words(text: str) -> list[str]:
 
 def make_room(cache: dict) -> None:
     """Drop the older half of a full cache."""
-    if len(cache) >= CACHED:
-        for key in list(islice(cache, len(cache) // 2)):
-            del cache[key]
+    for key in list(islice(cache, -(-len(cache) // 2))):
+        del cache[key]
 
 
-class Pretokens(dict):
-    """Counts of pre-tokens, by the library."""
+class Library:
+    """The tokenizer's library, for texts, words, and many words at once."""
 
     def __init__(self, vocabulary: str):
-        super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the cores are Spark's
-        self.library = Tokenizer.from_file(public_tokenizers.path(vocabulary))
-        self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
+        self.tokenizer = Tokenizer.from_file(public_tokenizers.path(vocabulary))
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
 
     def count(self, text: str) -> int:
-        return len(self.library.encode(text, add_special_tokens=False))
-
-    def __missing__(self, pretoken: str) -> int:
-        n = self.count(pretoken)
-        if len(pretoken) <= LONG:
-            make_room(self)
-            self[pretoken] = n
-        return n
-
-    def of_word(self, word: str) -> int:
-        # up to Latin Extended-B normalisation is lower case alone; a word with a special string is not split
-        if max(word) < "ɐ" and not any(s in word for s in self.special):
-            return sum(map(self.__getitem__, PRETOKEN.findall(word.lower())))
-        return self.count(word)
+        return len(self.tokenizer.encode(text, add_special_tokens=False))
+
+    def counts(self, some: list[str]) -> dict[str, int]:
+        """Tokens of each word; those with a special string are counted alone."""
+        alone = [w for w in some if any(s in w for s in self.special)]
+        found = {w: self.count(w) for w in alone}
+        joined = [w for w in some if w not in found] if alone else some
+        starts = np.zeros(len(joined), np.int64)
+        np.cumsum([len(w) + 1 for w in joined[:-1]], out=starts[1:])
+        first = 0
+        while first < len(joined):
+            last = max(first + 1, int(np.searchsorted(starts, starts[first] + JOINED)))
+            encoded = self.tokenizer.encode(" ".join(joined[first:last]), add_special_tokens=False)
+            begins = np.fromiter((b for b, _ in encoded.offsets), np.int64, len(encoded)) + starts[first]
+            owners = np.searchsorted(starts[first:last], begins, "right") - 1
+            found.update(zip(joined[first:last], np.bincount(owners, minlength=last - first).tolist(), strict=True))
+            first = last
+        return found
 
 
 class Words(dict):
-    """Counts of words: those met lately, the frequent ones, and by their pre-tokens the others."""
+    """Counts of words: those met lately, the frequent ones, and by the library the others."""
 
-    def __init__(self, frequent: dict[str, int], pretokens: Pretokens):
+    def __init__(self, frequent: dict[str, int], library: Library):
         super().__init__()
-        self.frequent, self.pretokens = frequent, pretokens
+        self.frequent, self.library = frequent, library
 
     def __missing__(self, word: str) -> int:
-        n = self.frequent.get(word) or self.pretokens.of_word(word)
-        if len(word) <= LONG:
+        return self.frequent.get(word) or self.library.count(word)
+
+    def learn(self, split: list[list[str]]) -> None:
+        """Count the words of these texts that are not known, as many at once as the cache has room for."""
+        unknown = (w for w in set().union(*split) if w not in self and w not in self.frequent and len(w) <= LONG)
+        some = list(islice(unknown, CACHED // 2))
+        if len(self) + len(some) > CACHED:
             make_room(self)
-            self[word] = n
-        return n
+        self.update(self.library.counts(some))
 
-    def in_text(self, text: str) -> int:
-        return sum(map(self.__getitem__, words(text)))
+    def in_texts(self, texts: list[str]) -> list[int]:
+        split = [words(t) for t in texts]
+        self.learn(split)
+        return [sum(map(self.__getitem__, some)) for some in split]
 
 
 @cache
 def worker_cache(vocabulary: str) -> Words:
     """One for each worker, so that tasks find what earlier ones have cached."""
-    return Words({}, Pretokens(vocabulary))
+    return Words({}, Library(vocabulary))
+
+
+def _thinned(counts: Counter, size: int) -> Counter:
+    """Without the words seen least, so that no more than ``size`` are left; one pass for each number of times."""
+    least = 1
+    while len(counts) > size:
+        left = {w: n for w, n in counts.items() if n > least}
+        counts = Counter()
+        dict.update(counts, left)
+        least *= 2
+    return counts
 
 
 def _trimmed(counts: Counter, size: int) -> Counter:
@@ -118,7 +138,7 @@ def _trimmed(counts: Counter, size: int) -> Counter:
 def frequent_words(docs: DataFrame, text: str = "text", size: int = FREQUENT) -> list[str]:
     """At most ``size`` words that are frequent in the whole table.
 
-    A task sketches what it reads: it counts words, forgets the rarer half when there are too many,
+    A task sketches what it reads: it counts words, forgets those seen least when there are too many,
     and passes its most frequent ones on in one row. Sketches are merged in a tree, each node at
     most ``size`` words, so neither a task nor the driver holds more than that for each it merges.
     The list only decides what is looked up where; counts don't depend on it.
@@ -131,7 +151,7 @@ def frequent_words(docs: DataFrame, text: str = "text", size: int = FREQUENT) ->
             for body in batch["text"]:
                 counts.update(words(body))
                 if len(counts) > COUNTED:
-                    counts = _trimmed(counts, COUNTED // 2)
+                    counts = _thinned(counts, COUNTED // 2)
         top = [(w, n) for w, n in _trimmed(counts, SKETCH).items() if len(w) <= LONG]
         yield pd.DataFrame({"words": [[w for w, _ in top]], "counts": [[n for _, n in top]]})
 
@@ -160,8 +180,7 @@ def token_counts(docs: DataFrame, vocabulary: str = VOCABULARY, limit: int = LIM
     empty: no bytes, no tokens. No rows give no rows.
     """
     small_batches(docs.sparkSession)
-    known = Pretokens(vocabulary)
-    table = {w: known.of_word(w) for w in frequent_words(docs, text)}
+    table = Library(vocabulary).counts(frequent_words(docs, text))
     sent = docs.sparkSession.sparkContext.broadcast(table)  # FREQUENT words of LONG characters at most
 
     @F.pandas_udf("long")
@@ -169,7 +188,7 @@ def token_counts(docs: DataFrame, vocabulary: str = VOCABULARY, limit: int = LIM
         lookup = worker_cache(vocabulary)
         lookup.frequent = sent.value
         for texts in batches:
-            yield pd.Series([lookup.in_text(t) for t in texts], dtype="int64")
+            yield pd.Series(lookup.in_texts(list(texts)), dtype="int64")
 
     body = whole(text)
     return docs.select(

@@ -26,9 +26,23 @@ def test_counts_are_the_librarys(monkeypatch):
     pick = random.Random(1)
     parts = ["a", "B", " ", "\n", "\u00e9", "\u6f22", "1", "!", "\x1d", "\u3000", "'s", "<|endoftext|>", "\u0301", "\u0250", "\u01c4"]
     mixed = ["".join(pick.choice(parts) for _ in range(50)) for _ in range(400)]
-    lookup = token_counts.Words({"a": 1}, token_counts.Pretokens("word_bpe_49k.json"))
+    lookup = token_counts.Words({"a": 1}, token_counts.Library("word_bpe_49k.json"))
     for text in STRANGE + mixed:
-        assert lookup.in_text(text) == count(text), repr(text)
+        assert lookup.in_texts([text]) == [count(text)], repr(text)
+    # many words in a call, and calls that end between words
+    monkeypatch.setattr(token_counts, "CACHED", 2000)
+    for joined in (1, 40, 1 << 16):
+        monkeypatch.setattr(token_counts, "JOINED", joined)
+        lookup = token_counts.Words({}, token_counts.Library("word_bpe_49k.json"))
+        assert lookup.in_texts(STRANGE + mixed) == [count(t) for t in STRANGE + mixed]
+        assert len(lookup) <= 2000
+
+
+def test_words_encoded_together_count_as_alone():
+    library = token_counts.Library("word_bpe_49k.json")
+    some = sorted({w for t in STRANGE for w in token_counts.words(t)} | {f"Wört{i}漢'll" for i in range(500)})
+    assert library.counts(some) == {w: library.count(w) for w in some}
+    assert library.counts([]) == {}
 
 
 def test_documents(spark, monkeypatch):
