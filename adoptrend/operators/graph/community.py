@@ -1,8 +1,10 @@
 """Modularity, and communities that raise it.
 
-Communities grow by local moves, are split into their connected parts, and become the vertices of
-the next, smaller graph. All moves of one round are made at once, so only a hashed share of the
-vertices may move; a round that lowers modularity is undone and the share halved.
+Leiden in rounds: vertices move to the neighbouring community that gains most; each community is
+refined into parts that grew from single vertices and are well connected; the parts become the
+vertices of the next, smaller graph, in the communities reached. All moves of one round are made at
+once, so in each a hashed half of the communities takes vertices and the other half gives some
+away. A round looks only at the frontier, the vertices whose neighbourhood changed.
 """
 
 from __future__ import annotations
@@ -14,9 +16,9 @@ from pyspark.sql import functions as F
 
 from adoptrend.functions.fixed import SEED
 from adoptrend.operators.graph.components import components
-from adoptrend.operators.graph.core import SplitEdges, settle, symmetric
+from adoptrend.operators.graph.core import SplitEdges, numbered, renumbered, settle, symmetric
 from adoptrend.operators.ordered import global_rank
-from adoptrend.operators.skew import HEAVY_ROWS, HEAVY_SHARE
+from adoptrend.operators.skew import HEAVY_ROWS
 from adoptrend.session import cut, discard
 
 GAIN = 1e-12
@@ -50,176 +52,222 @@ def modularity(labels: DataFrame, edges: DataFrame, hub_edges: int = HEAVY_ROWS)
     return done
 
 
-def _with_strength(edges: DataFrame, state: DataFrame, hub_edges: int) -> SplitEdges:
-    """Edges that also know the strength ``k`` of the vertex they lead to, which holds for a level."""
-    strengths = state.select(F.col("id").alias("dst"), "k")
-    return SplitEdges(edges.join(strengths, "dst"), hub_edges, carry=("k",))
+def _totals(state: DataFrame) -> DataFrame:
+    return state.groupBy("community").agg(F.sum("k").alias("_tot"))
 
 
-def _best_moves(
-    state: DataFrame, links: SplitEdges, total: float, movers: int, turn: int, seed: int, hub_edges: int
-):
-    """One round. ``state(id, k, inner, community)`` gains ``best``; also the modularity before it."""
-    # one row per community; late in a run one of them may hold a third of all vertices, and such
-    # communities, HEAVY_SHARE at most, bring their total by broadcast
-    totals, seen = settle(
-        state.groupBy("community").agg(F.sum("k").alias("_tot"), F.count("*").alias("_rows")), n=F.sum("_rows")
-    )
-    limit = max(hub_edges, -(-(seen["n"] or 0) // HEAVY_SHARE))
-    heavy, light = totals.where(F.col("_rows") > limit).drop("_rows"), totals.where(F.col("_rows") <= limit).drop("_rows")
-    told = state.join(F.broadcast(heavy), "community").unionByName(
-        state.join(F.broadcast(heavy.select("community")), "community", "left_anti").join(light, "community")
-    )
-    none = F.lit(0.0)
+def _receives(community: str, turn: int, seed: int):
+    """Whether a community takes vertices this turn; the others may only lose some.
+
+    So no two vertices trade places, and none joins what leaves at the same time.
+    """
+    return F.pmod(F.xxhash64(F.col(community), F.lit(seed), F.lit(turn)), F.lit(2)) == 0
+
+
+def _quality(state: DataFrame, links: SplitEdges, total: float) -> tuple[float, int]:
+    """Modularity of ``state(id, k, inner, community)``, and the number of communities."""
+    ends = links.send(state, "community").join(state.select(F.col("id").alias("dst"), F.col("community").alias("_c")), "dst")
+    inside = ends.where(F.col("community") == F.col("_c")).agg(F.sum("w")).first()[0] or 0.0
+    sums = state.groupBy("community").agg(F.sum("k").alias("k"), F.sum("inner").alias("inner"))
+    row = sums.agg(F.sum("inner").alias("inner"), F.sum(F.col("k") * F.col("k")).alias("squares"), F.count("*").alias("n")).first()
+    return (inside + row.inner) / total - row.squares / (total * total), row.n
+
+
+def _move_round(state: DataFrame, links: SplitEdges, total: float, turn: int, seed: int) -> tuple[DataFrame, int]:
+    """One round of moves; the next state, and how many vertices wanted to move.
+
+    Only the vertices of the frontier (``active``) look at their neighbours. Next time it is those that
+    could not go where they wanted, and the neighbours of those that moved.
+    """
+    active = state.where("active").select("id", "k", F.col("community").alias("_mine"))
+    near = links.send(active, "k", "_mine").select(F.col("src").alias("id"), "dst", "w", "k", "_mine")
+    near = near.join(state.select(F.col("id").alias("dst"), "community"), "dst").drop("dst")
+    # staying is always on offer, also to a vertex without a neighbour in its own community
+    own = active.select("id", F.lit(0.0).alias("w"), "k", "_mine", F.col("_mine").alias("community"))
     offers = (
-        links.send(told, "community", "_tot")
-        .select(F.col("dst").alias("id"), "community", "w", "k", none.alias("inner"), "_tot", F.lit(False).alias("_stays"))
-        # staying is always on offer, also to a vertex without a neighbour in its own community
-        .unionByName(told.select("id", "community", none.alias("w"), "k", "inner", "_tot", F.lit(True).alias("_stays")))
-        .groupBy("id", "community")
-        .agg(
-            F.sum("w").alias("_to"), F.max("k").alias("k"), F.max("inner").alias("inner"),
-            F.max("_tot").alias("_tot"), F.max("_stays").alias("_stays"),
-        )
+        near.unionByName(own)
+        .groupBy("id", "k", "_mine", "community")
+        .agg(F.sum("w").alias("_to"))
+        .join(_totals(state), "community")
     )
-    stays = F.col("_stays")
+    stays = F.col("community") == F.col("_mine")
     rest = F.col("_tot") - F.when(stays, F.col("k")).otherwise(0.0)
-    gain = F.col("_to") / total - F.col("k") * rest / (total * total)
-    chosen = offers.withColumn("_gain", F.round(gain, 15)).groupBy("id").agg(
-        F.max("k").alias("k"),
-        F.max("inner").alias("inner"),
-        F.max(F.when(stays, F.col("community"))).alias("community"),
-        F.max(F.struct(F.col("_gain"), (-F.col("community")).alias("_minus"))).alias("_top"),
-        F.max(F.when(stays, F.col("_gain"))).alias("_stay"),
-        F.max(F.when(stays, F.col("_to"))).alias("_inside"),
-        F.max(F.when(stays, F.col("_tot"))).alias("_own_tot"),
+    gain = F.round(F.col("_to") / total - F.col("k") * rest / (total * total), 15)
+    offer = F.struct(gain.alias("gain"), (-F.col("community")).alias("minus"))
+    rated = offers.groupBy("id", "_mine").agg(
+        F.max(F.when(stays, gain)).alias("_stay"),
+        F.max(offer).alias("_top"),
+        F.max(F.when(_receives("community", turn, seed), offer)).alias("_open"),
     )
-    # neighbours that trade places would undo each other: the share that may move changes every turn
-    awake = F.pmod(F.xxhash64(F.col("id"), F.lit(seed), F.lit(turn)), F.lit(movers)) == 0
-    wants = F.col("_top._gain") > F.col("_stay") + GAIN
-    done, seen = settle(
-        chosen.select(
-            "id",
-            "k",
-            "inner",
-            "community",
-            F.when(awake & wants, -F.col("_top._minus")).otherwise(F.col("community")).alias("best"),
-            "_inside",
-            "_own_tot",
-            wants.alias("_wants"),
+    leaves = ~_receives("_mine", turn, seed) & F.coalesce(F.col("_open.gain") > F.col("_stay") + GAIN, F.lit(False))
+    chosen, seen = settle(
+        rated.select(
+            "id", F.when(leaves, -F.col("_open.minus")).alias("best"), (F.col("_top.gain") > F.col("_stay") + GAIN).alias("wants"),
+            (leaves & (F.col("_open.gain") == F.col("_top.gain"))).alias("content"),
         ),
-        wanting=F.count_if(F.col("_wants")),
-        inside=F.sum(F.col("_inside") + F.col("inner")),
-        squares=F.sum(F.col("k") * F.col("_own_tot")),
+        wanting=F.count_if(F.col("wants")),
     )
-    quality = seen["inside"] / total - seen["squares"] / (total * total)
-    discard(totals)
-    return done, seen["wanting"], quality
+    if not seen["wanting"]:
+        discard(chosen)
+        return state, 0
+    movers = chosen.where("best IS NOT NULL").select("id", F.col("best").alias("_next"))
+    woken = links.send(movers, "_next").select(F.col("dst").alias("id"), "_next")
+    woken = woken.join(state.select("id", "community"), "id").where(F.col("community") != F.col("_next")).select("id").distinct()
+    after = cut(
+        state.drop("active")
+        .join(chosen.select("id", "best", (F.col("wants") & ~F.col("content")).alias("_again")), "id", "left")
+        .join(woken.withColumn("_woken", F.lit(True)), "id", "left")
+        .select(
+            "id", "k", "inner", F.coalesce("best", "community").alias("community"),
+            (F.coalesce("_again", F.lit(False)) | F.coalesce("_woken", F.lit(False))).alias("active"),
+        )
+    )
+    discard(chosen)
+    return after, seen["wanting"]
 
 
-def _local_moves(
-    state: DataFrame, links: SplitEdges, total: float, max_rounds: int, round_gain: float, seed: int, hub_edges: int
-):
-    """Rounds of moves until no vertex wants to move; returns labels (id, k, inner, community) and modularity.
+def _refined(state: DataFrame, links: SplitEdges, total: float, max_rounds: int, seed: int) -> DataFrame:
+    """``(id, part)``: connected parts of the communities, grown from single vertices.
 
-    A positive ``round_gain`` ends earlier, once a round raises modularity by a smaller share.
+    A vertex that is still alone and well connected within its community joins the part there, itself
+    well connected, that gains most; it never moves again.
     """
-    movers, best_quality, best = 2, None, None
+    ends = links.send(state, "community").join(state.select(F.col("id").alias("dst"), F.col("community").alias("_c")), "dst")
+    inside = cut(ends.where(F.col("community") == F.col("_c")).select("src", "dst", "w"))
+    sums = inside.groupBy(F.col("src").alias("id")).agg(F.sum("w").alias("_in"))
+    fits = F.coalesce("_in", F.lit(0.0)) + GAIN >= F.col("k") * (F.col("_tot") - F.col("k")) / total
+    parts = cut(
+        state.join(sums, "id", "left").join(_totals(state), "community")
+        .select("id", "k", "_tot", F.col("id").alias("part"), fits.alias("alone"))
+    )
     for turn in range(max_rounds):
-        moved, wanting, quality = _best_moves(state, links, total, movers, turn, seed, hub_edges)
-        if best_quality is None or quality >= best_quality:
-            little = best_quality is not None and 0 < quality - best_quality < round_gain * abs(quality)
-            best_quality, best = quality, state
-            if not wanting or little:
-                break
-            state = moved.select("id", "k", "inner", F.col("best").alias("community"))
-        else:
-            # the moves of the round before collided: take them back, and let fewer vertices move
-            movers *= 2
-            state, _, _ = _best_moves(best, links, total, movers, turn + max_rounds, seed, hub_edges)
-            state = state.select("id", "k", "inner", F.col("best").alias("community"))
+        side = lambda end, name: parts.select(F.col("id").alias(end), F.col("part").alias(name))
+        across = inside.join(side("src", "_p"), "src").join(side("dst", "_q"), "dst").where(F.col("_p") != F.col("_q"))
+        across = cut(across.groupBy("src", "_p", "_q").agg(F.sum("w").alias("w")))
+        outward = across.groupBy(F.col("_p").alias("part")).agg(F.sum("w").alias("_out"))
+        sized = parts.groupBy("part").agg(F.sum("k").alias("_k"), F.max("_tot").alias("_tot"))
+        good = sized.join(outward, "part").where(F.col("_out") + GAIN >= F.col("_k") * (F.col("_tot") - F.col("_k")) / total)
+        alone = parts.where("alone").select(F.col("id").alias("src"), "k")
+        gain = F.round(F.col("w") / total - F.col("k") * F.col("_k") / (total * total), 15)
+        offers = (
+            across.select("src", "_q", "w").join(alone, "src").join(good.select(F.col("part").alias("_q"), "_k"), "_q")
+            .withColumn("_gain", gain)
+            .where(F.col("_gain") > GAIN)
+        )
+        offer = F.struct("_gain", (-F.col("_q")).alias("_minus"))
+        takes = _receives("_q", turn, seed)
+        chosen, seen = settle(
+            offers.groupBy(F.col("src").alias("id")).agg(F.max(F.when(takes, offer)).alias("_best")).select(
+                "id", F.when(~_receives("id", turn, seed), -F.col("_best._minus")).alias("_join")
+            ),
+            wanting=F.count(F.lit(1)),
+            joined=F.count("_join"),
+        )
+        discard(across)
+        if seen["joined"]:
+            joins = chosen.where("_join IS NOT NULL")
+            taken = joins.select(F.col("_join").alias("id")).distinct().withColumn("_taken", F.lit(True))
+            grown = cut(
+                parts.join(joins, "id", "left").join(taken, "id", "left").select(
+                    "id", "k", "_tot", F.coalesce("_join", "part").alias("part"),
+                    (F.col("alone") & F.col("_join").isNull() & F.col("_taken").isNull()).alias("alone"),
+                )
+            )
+            discard(parts)
+            parts = grown
+        discard(chosen)
+        if not seen["wanting"]:
+            break
     else:
-        warnings.warn(f"communities: {wanting} vertices still want to move after {max_rounds} rounds", stacklevel=3)
-    return best, best_quality
+        warnings.warn(f"communities: {seen['wanting']} vertices still want to join a part after {max_rounds} rounds", stacklevel=3)
+    discard(inside)
+    return parts
 
 
 def communities(
-    vertices: DataFrame,
-    edges: DataFrame,
-    max_rounds: int = 200,
-    max_levels: int = 100,
-    round_gain: float = 0.0,
-    level_gain: float = 0.0,
-    seed: int = SEED,
-    hub_edges: int = HEAVY_ROWS,
+    vertices: DataFrame, edges: DataFrame, max_rounds: int = 200, max_levels: int = 100, seed: int = SEED, hub_edges: int = HEAVY_ROWS
 ) -> DataFrame:
     """``(id, community_id)``: connected communities, 0 the largest, ties by the smallest id.
 
-    Levels end when merging raises modularity no more. A run that ends at ``max_rounds`` or
-    ``max_levels`` instead says so in a warning.
+    Levels end when no vertex moves, or when merging raises modularity no more. A run that ends at
+    ``max_rounds`` or ``max_levels`` instead says so in a warning. Edges of no weight count for nothing.
     """
-    numbered = cut(global_rank(vertices.select("id"), ["id"], "node"))
-    ends = symmetric(edges).join(numbered.select(F.col("id").alias("src"), F.col("node").alias("_s")), "src")
-    ends = ends.join(numbered.select(F.col("id").alias("dst"), F.col("node").alias("_d")), "dst")
-    ends = cut(ends.select(F.col("_s").alias("src"), F.col("_d").alias("dst"), F.col("w").cast("double").alias("w")))
-    members = numbered.select("id", "node")
-
-    strength = ends.groupBy(F.col("src").alias("id")).agg(F.sum("w").alias("k"))
-    state, seen = settle(
-        numbered.select(F.col("node").alias("id"))
-        .join(strength, "id", "left")
-        .select("id", F.coalesce("k", F.lit(0.0)).alias("k"), F.lit(0.0).alias("inner"), F.col("id").alias("community")),
-        total=F.sum("k"),
+    numbers = numbered(vertices)
+    both = symmetric(renumbered(edges, numbers)).where("w > 0").groupBy("src", "dst").agg(F.sum("w").alias("w"))
+    both = cut(both)
+    loops = both.where("src = dst").select(F.col("src").alias("id"), F.col("w").alias("inner"))
+    strength = both.groupBy(F.col("src").alias("id")).agg(F.sum("w").alias("k"))
+    # vertices without an edge stay alone and take no part
+    start = strength.join(loops, "id", "left").select(
+        "id", "k", F.coalesce("inner", F.lit(0.0)).alias("inner"), F.col("id").alias("community"), F.lit(True).alias("active")
     )
-    links = _with_strength(ends, state, hub_edges)
-    total = seen["total"]
-    quality = None
-    for _ in range(max_levels if total else 0):
-        labels, reached = _local_moves(state, links, total, max_rounds, round_gain, seed, hub_edges)
-        if quality is not None and reached <= quality + max(GAIN, level_gain * abs(quality)):
+    state, seen = settle(start, total=F.sum("k"), n=F.count(F.lit(1)))
+    total, n = seen["total"], seen["n"]
+    links = SplitEdges(both.where("src <> dst"), hub_edges)
+    members = cut(state.select(F.col("id").alias("node"), "id"))
+    best, quality, whole = None, None, True
+    for level in range(max_levels if total else 0):
+        for turn in range(max_rounds):
+            after, wanting = _move_round(state, links, total, turn, seed + level)
+            if not wanting:
+                break
+            discard(state)
+            state = after
+        else:
+            warnings.warn(f"communities: {wanting} vertices still want to move after {max_rounds} rounds", stacklevel=2)
+        reached, several = _quality(state, links, total)
+        # a community that is not one vertex of this level may have been torn apart by moves
+        whole = several == n
+        if quality is not None and reached <= quality + GAIN:
             break
+        if best is not None:
+            discard(best)
+        best = cut(members.join(state.select("id", "community"), "id").select("node", "community"))
         quality = reached
-        # a community that moves have torn apart becomes several
-        same = links.send(labels, "community").select("src", "dst", "w", "community")
-        same = same.join(labels.select(F.col("id").alias("dst"), F.col("community").alias("_c")), "dst")
-        inner_edges = same.where((F.col("community") == F.col("_c")) & (F.col("src") < F.col("dst")))
-        parts = components(labels.select("id"), inner_edges.select("src", "dst", "w"), hub_edges=hub_edges)
-        members = cut(
-            members.join(parts.select(F.col("id").alias("node"), "component"), "node").select(
-                "id", F.col("component").alias("node")
-            )
-        )
+        if whole:
+            break
+        parts = _refined(state, links, total, max_rounds, seed + level)
+        grown = parts.select("id", "part")
+        onward = cut(members.join(grown, "id").select("node", F.col("part").alias("id")))
         crossing = (
-            links.send(parts, "component")
-            .groupBy(F.col("dst"), F.col("component").alias("_a"))
-            .agg(F.sum("w").alias("w"))
-            .join(parts.select(F.col("id").alias("dst"), F.col("component").alias("_b")), "dst")
-            .groupBy(F.col("_a").alias("src"), F.col("_b").alias("dst"))
-            .agg(F.sum("w").alias("w"))
+            links.send(grown, "part")
+            .groupBy("dst", F.col("part").alias("_a")).agg(F.sum("w").alias("w"))
+            .join(grown.select(F.col("id").alias("dst"), F.col("part").alias("_b")), "dst")
+            .groupBy(F.col("_a").alias("src"), F.col("_b").alias("dst")).agg(F.sum("w").alias("w"))
         )
         crossing = cut(crossing)
-        within = crossing.where(F.col("src") == F.col("dst")).select(F.col("src").alias("id"), F.col("w").alias("_within"))
+        within = crossing.where("src = dst").select(F.col("src").alias("id"), F.col("w").alias("_within"))
         merged = (
-            labels.select("id", "k", "inner")
-            .join(parts, "id")
-            .groupBy(F.col("component").alias("id"))
-            .agg(F.sum("k").alias("k"), F.sum("inner").alias("inner"))
+            state.join(grown, "id")
+            .groupBy(F.col("part").alias("id"))
+            .agg(F.sum("k").alias("k"), F.sum("inner").alias("inner"), F.max("community").alias("community"))
             .join(within, "id", "left")
-            .select(
-                "id", "k", (F.col("inner") + F.coalesce("_within", F.lit(0.0))).alias("inner"), F.col("id").alias("community")
-            )
+            .select("id", "k", (F.col("inner") + F.coalesce("_within", F.lit(0.0))).alias("inner"), "community", F.lit(True).alias("active"))
         )
+        above, seen = settle(merged, n=F.count(F.lit(1)))
         links.release()
-        before = state
-        state, seen = settle(merged, n=F.count(F.lit(1)))
-        links = _with_strength(crossing.where(F.col("src") != F.col("dst")), state, hub_edges)
-        if not links.total or seen["n"] == before.count():
+        discard(state, members, parts)
+        state, members = above, onward
+        links = SplitEdges(crossing.where("src <> dst"), hub_edges)
+        discard(crossing)
+        if seen["n"] == n:
             break
+        n = seen["n"]
     else:
         if total:
             warnings.warn(f"communities: modularity still grows after {max_levels} levels", stacklevel=2)
-
     links.release()
-    sized = members.groupBy("node").agg(F.count("*").alias("_size"), F.min("id").alias("_first"))
+    if best is not None and not whole:
+        torn = both.join(best.select(F.col("node").alias("src"), F.col("community").alias("_a")), "src")
+        torn = torn.join(best.select(F.col("node").alias("dst"), F.col("community").alias("_b")), "dst").where("_a = _b AND src < dst")
+        parts = components(best.select(F.col("node").alias("id")), torn.select("src", "dst", "w"), hub_edges=hub_edges)
+        best = parts.select(F.col("id").alias("node"), F.col("component").alias("community"))
+
+    found = numbers if best is None else numbers.join(best, "node", "left")
+    label = F.col("node") if best is None else F.coalesce("community", "node")
+    named = cut(found.select("id", label.alias("community")))
+    sized = named.groupBy("community").agg(F.count("*").alias("_size"), F.min("id").alias("_first"))
     ranked = global_rank(sized.withColumn("_smaller", -F.col("_size")), ["_smaller", "_first"], "community_id")
-    return members.join(ranked.select("node", "community_id"), "node").select("id", "community_id")
+    done = cut(named.join(ranked.select("community", "community_id"), "community").select("id", "community_id"))
+    discard(state, members, both, named, *([best] if best is not None else []))
+    return done

@@ -356,8 +356,8 @@ def communities(t: Inputs) -> DataFrame:
     "communities_check",
     with_views(
         "actor_vertices",
-        body="""SELECT count(*) AS members, true AS ids_by_size, true AS connected, true AS above_singletons
-                FROM actor_vertices""",
+        body="""SELECT count(*) AS members, true AS ids_by_size, true AS connected, true AS above_singletons,
+                  true AS above_components FROM actor_vertices""",
     ),
 )
 def communities_check(t: Inputs) -> DataFrame:
@@ -372,11 +372,14 @@ def communities_check(t: Inputs) -> DataFrame:
     parts = comps.components(t.actor_vertices, inner.select("src", "dst", "w"))
     torn = found.join(parts, "id").groupBy("community_id").agg(F.countDistinct("component").alias("n")).where("n > 1")
 
-    # single vertices have a modularity below 0, a whole component one of 0
+    # single vertices have a modularity below 0, the components one of 0 or more
     reached = community.modularity(found.withColumnRenamed("community_id", "community"), edges).first()[0]
+    whole = comps.components(t.actor_vertices, edges).withColumnRenamed("component", "community")
+    of_components = community.modularity(whole, edges).first()[0]
     return found.agg(F.count("*").alias("members")).select(
         "members",
         F.lit(in_order).alias("ids_by_size"),
         F.lit(torn.isEmpty()).alias("connected"),
         F.lit(reached > 0).alias("above_singletons"),
+        F.lit(reached >= of_components - 1e-12).alias("above_components"),
     )

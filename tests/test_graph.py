@@ -279,3 +279,55 @@ def test_registered_communities_end_when_no_vertex_wants_to_move(monkeypatch):
     monkeypatch.setattr(community, "communities", lambda *tables, **bounds: given.append(bounds))
     graphs.found_communities(Tables())
     assert given == [{}], "no gain thresholds"
+
+
+def partitions(items):
+    if not items:
+        yield []
+        return
+    first, *rest = items
+    for smaller in partitions(rest):
+        yield [[first], *smaller]
+        for i, group in enumerate(smaller):
+            yield [*smaller[:i], [first, *group], *smaller[i + 1 :]]
+
+
+def brute_modularity(edges, groups):
+    total = 2 * sum(w for _, _, w in edges)
+    of = {v: i for i, g in enumerate(groups) for v in g}
+    inside = sum(2 * w for a, b, w in edges if of[a] == of[b])
+    degree = [sum(w * ((a in g) + (b in g)) for a, b, w in edges) for g in groups]
+    return inside / total - sum((d / total) ** 2 for d in degree)
+
+
+def test_communities_near_the_best_of_all_partitions(spark):
+    pick = random.Random(4)
+    edges = [(a, b, pick.randrange(1, 5)) for a, b in itertools.combinations(range(8), 2) if pick.random() < 0.4]
+    edges.append((0, 0, 2))  # a loop
+    v, e = graph(spark, edges, range(8))
+    labels = values(community.communities(v, e))
+    found = [[i for i in range(8) if labels[i] == c] for c in set(labels.values())]
+    best = max(brute_modularity(edges, p) for p in partitions(list(range(8))))
+    assert brute_modularity(edges, found) >= best - 0.02
+
+
+def test_communities_follow_a_chain_of_cliques(spark):
+    # rings of cliques with single links between them: every clique stays whole, over several levels
+    edges = []
+    for c in range(12):
+        edges += itertools.combinations(range(5 * c, 5 * c + 5), 2)
+        edges.append((5 * c + 4, 5 * ((c + 1) % 12)))
+    v, e = graph(spark, edges)
+    labels = values(community.communities(v, e, hub_edges=3))
+    assert all(len({labels[5 * c + i] for i in range(5)}) == 1 for c in range(12))
+    assert 3 <= len(set(labels.values())) <= 12
+    ids = spark.createDataFrame([(i, i // 5) for i in range(60)], "id long, community long")
+    found = spark.createDataFrame(list(labels.items()), "id long, community long")
+    assert community.modularity(found, e).first()[0] >= community.modularity(ids, e).first()[0] - 1e-9
+
+
+def test_communities_without_edges(spark):
+    v, e = graph(spark, [(1, 2)], [3])
+    none = e.limit(0)
+    assert values(community.communities(v, none)) == {1: 0, 2: 1, 3: 2}
+    assert values(community.communities(v.limit(0), none)) == {}
