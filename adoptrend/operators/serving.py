@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from adoptrend.functions.text import owner
 from adoptrend.operators.ordered import exact_quantiles
+from adoptrend.operators.sketches import quantiles_of
 
 DEGREE_BANDS = ("0", "1-2", "3-8", "9+")
 
@@ -32,6 +33,42 @@ def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return out
 
 
+QUARTILES = (0.25, 0.5, 0.75)
+
+
+def describe_once(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Count, mean, deviation, extremes and quartiles, one row per column, from one pass over the rows.
+
+    Quartiles come from sketches: their rank is right within ``sketches.RANK_ERROR``. Absent values don't count.
+    """
+    measures = {"n": F.count, "mean": F.avg, "sd": F.stddev_samp, "lowest": F.min, "highest": F.max}
+    moments = [f(c).cast("long" if m == "n" else "double").alias(f"{m}_{i}") for i, c in enumerate(columns) for m, f in measures.items()]
+    told = [F.kll_sketch_agg_double(F.col(c).cast("double")).alias(f"sketch_{i}") for i, c in enumerate(columns)]
+    row = df.agg(*moments, *told)
+    listed = [
+        F.struct(
+            F.lit(c).alias("column"), *[F.col(f"{m}_{i}").alias(m) for m in measures], quantiles_of(f"sketch_{i}", QUARTILES).alias("q")
+        )
+        for i, c in enumerate(columns)
+    ]
+    described = row.select(F.inline(F.array(*listed)))
+    return described.select("column", *measures, *[F.get("q", F.lit(i)).alias(f"q{round(p * 100)}") for i, p in enumerate(QUARTILES)])
+
+
+def ranks_within(df: DataFrame, described: DataFrame, error: float) -> DataFrame:
+    """``(column, n, lowest, highest, within)``: whether the quartiles of ``described`` have their ranks, but for ``error``."""
+    found = {r["column"]: [r[f"q{round(p * 100)}"] for p in QUARTILES] for r in described.collect()}  # a row per column
+    checks = []
+    for i, (c, values) in enumerate(found.items()):
+        right = F.lit(True)
+        for p, q in zip(QUARTILES, values, strict=True):
+            below, upto = (F.try_divide(F.count_if(x), F.count(c)) for x in (F.col(c) < F.lit(q), F.col(c) <= F.lit(q)))
+            right = right & (below - error <= p) & (upto + error >= p)
+        checks.append(F.struct(F.lit(c).alias("column"), F.coalesce(right, F.lit(True)).alias("within")).alias(f"c{i}"))
+    told = df.agg(*checks).select(F.inline(F.array(*[f"c{i}" for i in range(len(checks))])))
+    return described.select("column", "n", "lowest", "highest").join(told, "column")
+
+
 def histogram(df: DataFrame, value: Column, bins: int) -> DataFrame:
     """Equal-width bins between the extremes; the last one is closed."""
     values = df.select(value.cast("double").alias("_v")).where(F.col("_v").isNotNull())

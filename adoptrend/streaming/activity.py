@@ -81,15 +81,21 @@ def compact(spark: SparkSession, table: str, by: str) -> None:
             files.delete(path(f"{table}/batch={number}"), True)
 
 
-def sessions(events: DataFrame, by: str, ts: str = "ts", gap: str = "30 minutes", delay: str = "1 hour") -> DataFrame:
+def sessions(
+    events: DataFrame, by: str, ts: str = "ts", gap: str = "30 minutes", delay: str = "1 hour", event_id: str | None = None
+) -> DataFrame:
     """Runs of events of one ``by`` with less than ``gap`` between them: start, end and number.
 
     A session comes out once, when the watermark (``delay`` behind the latest event) has passed its
-    end, and leaves the state with it.
+    end, and leaves the state with it. With an ``event_id``, an event that is delivered again counts
+    once, also when the two come in different batches; its id leaves the state with the watermark,
+    after which the event itself would be too late to count.
     """
+    seen = events.withWatermark(ts, delay)
+    if event_id is not None:
+        seen = seen.dropDuplicatesWithinWatermark([event_id])
     return (
-        events.withWatermark(ts, delay)
-        .groupBy(F.session_window(ts, gap).alias("w"), by)
+        seen.groupBy(F.session_window(ts, gap).alias("w"), by)
         .agg(F.count("*").alias("n"))
         .select(by, F.col("w.start").alias("session_start"), F.col("w.end").alias("session_end"), "n")
     )
