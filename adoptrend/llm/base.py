@@ -41,6 +41,11 @@ def arrow_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> Iterator[None]
             spark.conf.set(key, value)
 
 
+def once(df: DataFrame, **columns: Column) -> DataFrame:
+    """``df`` with columns that are computed once a row: the optimizer doesn't merge projections across a generator."""
+    return df.select("*", F.inline(F.array(F.struct(*[c.alias(name) for name, c in columns.items()]))))
+
+
 def whole(text: str = "text") -> Column:
     """The text, an absent one as the empty text."""
     return F.coalesce(F.col(text), F.lit(""))

@@ -1,8 +1,10 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import random
 import re
+import time
 
 from adoptrend.llm import pii
 from tests.llm.fixtures import CLASHING, ODD, documents
@@ -139,3 +141,134 @@ def test_numbers_written_in_groups_are_found_as_a_whole(spark):
     for i, (text, value, kind) in unseen.items():
         start = text.index(value)
         assert [tuple(s) for s in found[i].spans] == [(start, kind, start + len(value))], text
+
+
+OPENING, CLOSING = "\"'(<[{", "\"')>]},.;:!?"
+TOKEN = r"(?<!\S)[^\s0-9@]*[0-9@]\S*"
+GROUPS = r"(?<![0-9A-Za-z_@])\(?[0-9]+(?:(?:\)[ .-]?|[ .-]?\(|[ .-])[0-9]+)+"
+
+
+def sides(text, matches, i, flags=re.ASCII):
+    start, end = matches[i].span()
+    low = matches[i - pii.REACH - 1].end() if i > pii.REACH else 0
+    high = matches[i + pii.REACH].end() if i + pii.REACH < len(matches) else len(text)
+    before, after = text[low:start][-pii.CONTEXT - 1 :], text[end:high][: pii.CONTEXT + 1]
+    if len(before) > pii.CONTEXT:
+        before = re.sub(r"^\S+", "", before, flags=flags)
+    if len(after) > pii.CONTEXT:
+        after = re.sub(r"\S+\Z", "", after, flags=flags)
+    return before.rstrip(OPENING), after.lstrip(CLOSING)
+
+
+def patterns(before, after):
+    split = lambda t: [w for w in re.split(r"\s+", re.sub("[0-9]+", "0", t.lower()), flags=re.ASCII) if w]
+    left, right = split(before), split(after)
+    out = [f"{left[-2]} {left[-1]} _"] if len(left) > 1 else []
+    return out + ([f"{left[-1]} _ {right[0]}"] if left and right else [])
+
+
+def plain_spans(rows):
+    """The whole method in plain Python, over all rows at once."""
+    seeds, others, bases = [], [], []
+    for row, (_, text, *_) in enumerate(rows):
+        text = text or ""
+        spans = base(text)
+        bases.append(spans)
+        for kind, pattern in enumerate(PLAIN):
+            ms = list(re.finditer(pattern, text))
+            for i, m in enumerate(ms):
+                if (m.start(), kind, m.end()) in spans:
+                    seeds += [(kind, p, m.group().lower()) for p in patterns(*sides(text, ms, i))]
+        found = {}
+        tokens, groups = list(re.finditer(TOKEN, text, re.ASCII)), list(re.finditer(GROUPS, text))
+        for i, m in enumerate(tokens):
+            opened = m.group().lstrip(OPENING)
+            value, n = opened.rstrip(CLOSING), len(re.sub("[^0-9]", "", m.group()))
+            kinds = [
+                bool(re.fullmatch("[^@]+@[^@]+", value)), bool(re.fullmatch("[0-9a-fA-F]{1,4}(?:[.:][0-9a-fA-F]{0,4}){3,7}", value)),
+                bool(re.fullmatch("[0-9-]+", value)) and 12 <= n <= 19, bool(re.fullmatch("[0-9().-]+", value)) and 7 <= n <= 15,
+            ]
+            start = m.start() + len(m.group()) - len(opened)
+            if any(kinds):
+                found[start, start + len(value)] = (value, [k for k in range(4) if kinds[k]], sides(text, tokens, i))
+        for i, m in enumerate(groups):
+            alone = m.group().startswith("(") and ")" not in m.group()
+            value, n = m.group()[alone:], len(re.sub("[^0-9]", "", m.group()))
+            kinds = [2] * (bool(re.fullmatch("[0-9 .-]+", value)) and 12 <= n <= 19) + [3] * (7 <= n <= 15)
+            if kinds:
+                found.setdefault((m.start() + alone, m.start() + alone + len(value)), (value, kinds, sides(text, groups, i)))
+        for (a, b), (value, kinds, around) in found.items():
+            if not any(s < b and a < e for s, _, e in spans):
+                others += [(row, a, b, k, p, value.lower()) for k in kinds for p in patterns(*around)]
+    edges, seeded = {}, {}
+    for k, p, v in seeds + [(k, p, v) for _, _, _, k, p, v in others]:
+        edges.setdefault((k, p), set()).add(v)
+    for k, p, v in seeds:
+        seeded[k, v] = 1
+    values = {(k, v) for (k, p), vs in edges.items() for v in vs}
+    usual = {k: (sum(seeded.get(x, 0) for x in values if x[0] == k) + 1) / (sum(x[0] == k for x in values) + 2) for k in range(4)}
+    graph = {kp: vs for kp, vs in edges.items() if len(vs) >= pii.SUPPORT}
+    trust = {x: float(seeded.get(x, 0)) for x in values}
+
+    def rated():
+        out = {}
+        for (k, p), vs in graph.items():
+            t = sum(trust[k, v] for v in vs)
+            if t >= pii.SUPPORT:
+                out[k, p] = (len(vs), t, t / (len(vs) + 1))
+        return out
+
+    for _ in range(pii.ROUNDS - 1):
+        doubt = {}
+        for (k, p), (_, _, score) in rated().items():
+            for v in graph[k, p]:
+                doubt[k, v] = doubt.get((k, v), 0) + math.log(1 - score)
+        trust = {x: 1.0 if seeded.get(x) else 1 - math.exp(doubt.get(x, 0)) for x in trust}
+    good = {}
+    for (k, p), (n, t, score) in rated().items():
+        share = min(max(t / n, 1e-9), 1 - 1e-9)
+        ratio = 2 * n * (share * math.log(share / usual[k]) + (1 - share) * math.log((1 - share) / (1 - usual[k])))
+        if score >= pii.CONFIDENT and share > usual[k] and ratio >= pii.EVIDENCE:
+            good[k, p] = score
+    best = {}
+    for row, a, b, k, p, _ in others:
+        if (k, p) in good:
+            best.setdefault(row, {})[a, b] = max(best.get(row, {}).get((a, b), (0, 0)), (good[k, p], -k))
+    out = []
+    for row, spans in enumerate(bases):
+        mine = best.get(row, {})
+        kept = [
+            (a, -k, b) for (a, b), (_, k) in mine.items()
+            if not any(c < b and a < d and (d - c > b - a or d - c == b - a and c < a) for c, d in mine)
+        ]
+        out.append(sorted(spans + kept))
+    return out
+
+
+def test_spans_are_those_of_the_plain_method(spark):
+    rows, _ = corpus()
+    pick = random.Random(6)
+    for i in range(60):
+        rows.append((2000 + i, f"please call me at +1 212 555 {pick.randrange(1000, 9999)} today"))
+        rows.append((3000 + i, f"{'w' * pick.randrange(200)} Email {i % 7}: n{i}.{'x' * i}@firma.de (since 20{i % 90 + 10})"))
+    rows += [
+        (7000, "my card number 4111 1111 1111 1112, thanks"), (7001, "please call me at (743) 555-3824 today"),
+        (7002, "please call me at 020.7946.0959/12-34 today"), (7003, "Email 3: j\u00f6rg@firma 2 times"),
+        (7004, "my card number 4111-1111-1111-1112 4111-1111-1111-1113 thanks"), *ODD, *((8000 + i, t) for i, t in enumerate(STRANGE)),
+    ]
+    want = plain_spans(rows)
+    assert sum(len(w) for w in want) > sum(len(base(t)) for _, t, *_ in rows), "the method adds some"
+    got = {}
+    for r in pii.personal_data(documents(spark, rows)).collect():
+        got.setdefault(r.doc_id, []).append([tuple(s) for s in r.spans])
+    for (doc_id, text, *_), spans in zip(rows, want, strict=True):
+        assert spans in got[doc_id], repr(text)[:100]
+
+
+def test_a_text_of_many_numbers(spark):
+    pick = random.Random(2)
+    text = " ".join(f"{pick.randrange(10**6)} {pick.randrange(1000)}-{pick.randrange(10**7)}," for _ in range(10_000))
+    began = time.time()
+    row = pii.personal_data(documents(spark, [(1, text), (2, "call +1 212 555 1234")])).where("doc_id = 1").first()
+    assert [tuple(s) for s in row.base] == base(text)
+    assert time.time() - began < 90
