@@ -131,7 +131,7 @@ def op8_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return url_filter.judged(table(spark, folder, "pages"))
 
 
-# a pass that makes wildcards; the second finds no more in any of the test tables
+# a pass that makes wildcards
 WILDCARDS = """x{i} AS (
   SELECT *, unnest(now) AS seg, generate_subscripts(now, 1) AS i FROM a{i}
 ), o{i} AS (
@@ -169,7 +169,7 @@ WITH p AS (
 ), a0 AS (
   SELECT *, segs AS now FROM f
 ), {passes}w AS (
-  SELECT * FROM a2
+  SELECT * FROM a3
 ), x AS (
   SELECT host, segs, now, n, labelled, bad, unnest(now) AS seg, generate_subscripts(now, 1) AS i FROM w
 ), b AS (
@@ -185,15 +185,29 @@ WITH p AS (
   FROM x LEFT JOIN m ON x.host = m.host AND x.now[1 : x.i - 1] = m.above AND x.seg = m.seg GROUP BY ALL
 ), v AS (
   SELECT w.*, coalesce(t.template, w.now) AS template FROM w LEFT JOIN t ON w.host = t.host AND w.segs = t.segs
+), g AS (
+  SELECT host, template, sum(labelled)::DOUBLE AS labelled, sum(bad)::DOUBLE AS bad, string_split(host, '.') AS names FROM v GROUP BY host, template
+), c AS (
+  SELECT host, template, labelled, bad, len(names) AS d, unnest(nodes) AS node, generate_subscripts(nodes, 1) AS i FROM (
+    SELECT *, list_transform(range(len(names)), lambda k: array_to_string(names[len(names) - k :], '.'))
+      || list_transform(range(1, len(template)), lambda k: host || '/' || array_to_string(template[1 : k], '/')) AS nodes FROM g)
+), k AS (
+  SELECT node, sum(share) AS s, count(*)::DOUBLE AS n
+  FROM (SELECT node, sum(bad) / sum(labelled) AS share FROM c WHERE labelled > 0 GROUP BY node, coalesce(template[greatest(i - d, 0) + 1], '')) GROUP BY node
+), z AS (
+  SELECT host, template, list_reduce([{'p': 0.1::DOUBLE, 's': 0::DOUBLE, 'n': 0::DOUBLE}] || list({'p': 0::DOUBLE, 's': k.s, 'n': k.n} ORDER BY i),
+    lambda a, b: {'p': (b.s + 2 * a.p) / (b.n + 2), 's': 0::DOUBLE, 'n': 0::DOUBLE}).p AS p
+  FROM (SELECT host, template, i, node, k.n AS votes, lead(k.n) OVER (PARTITION BY host, template ORDER BY i) AS next FROM c JOIN k USING (node))
+  JOIN k USING (node) WHERE votes IS DISTINCT FROM next GROUP BY host, template
 ), u AS (
-  SELECT *, (sum(bad) OVER same + 0.2::DOUBLE) / (sum(labelled) OVER same + 2.0::DOUBLE) AS purity
-  FROM v WINDOW same AS (PARTITION BY host, template)
+  SELECT v.host, v.segs, (g.bad + 2 * coalesce(z.p, 0.1::DOUBLE)) / (g.labelled + 2) AS purity
+  FROM v JOIN g ON v.host = g.host AND v.template = g.template LEFT JOIN z ON v.host = z.host AND v.template = z.template
 )
 SELECT r.page_id, r.host, r.path, r.rule, CASE
     WHEN r.rule IN ('net/', 'example.com/de/') THEN 'block' WHEN r.rule IS NOT NULL THEN 'allow'
     WHEN u.purity > 0.5 THEN 'block' ELSE 'allow' END AS verdict
 FROM r JOIN u ON r.host = u.host AND r.segs = u.segs
-""".replace("{passes}", "".join(WILDCARDS.format(i=i, next=i + 1) for i in range(2)))
+""".replace("{passes}", "".join(WILDCARDS.format(i=i, next=i + 1) for i in range(url_filter.PASSES)))
 
 
 @query

@@ -4,8 +4,16 @@ The tree is built from the distinct generalised paths of each host, all levels i
 A segment with digits is generalised by its form at once. A branch point where most pages have a
 segment of their own becomes a wildcard, and what is below is pooled and looked at again; of the
 labelled branches beside each other, those whose share of bad pages is like the share of all of
-them are merged. A template's purity is its labelled
-share of bad pages, smoothed towards ``EXPECTED``; templates of a high purity are rejected.
+them are merged.
+
+Evidence is inherited. The tree goes on above the hosts, through their parent domains. What is
+expected at a node is the mean of its labelled branches, each one vote however many pages and hosts have
+it, smoothed towards the node above, and from ``EXPECTED`` at the top. The branches of a domain are
+the first segments on all its hosts; a node with as many branches as the next one on the way is passed
+over, so that none is heard twice. A template's purity is its labelled share of bad pages, smoothed
+towards the node it hangs on. So a template without labels is judged by the nearest branches that
+have some: it is rejected where several around it are bad, while one bad branch, on however many
+hosts, isn't held against its neighbours.
 """
 
 from __future__ import annotations
@@ -15,6 +23,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from adoptrend.llm.base import once
 from adoptrend.session import cut
 
 # fixed values: the rules of the registered query, (verdict, host and path)
@@ -32,7 +41,9 @@ BRANCHES = 8
 OWN_SHARE = 0.5
 # branches are alike within so many standard deviations of a binomial share
 ALIKE = 2.0
-# the share of bad pages expected where nothing is known, its weight in pages, and the purity that rejects
+# times that wildcards are looked for: those that pooling makes variable are found in the next pass
+PASSES = 3
+# the share of bad pages expected where nothing is known, the weight of what is inherited, and the purity that rejects
 EXPECTED = 0.1
 PRIOR = 2.0
 REJECT = 0.5
@@ -68,11 +79,22 @@ def segments(path: Column) -> Column:
     return F.transform(F.filter(F.split(path, "/"), lambda s: s != ""), form)
 
 
+def _beginnings(segs: Column) -> Column:
+    """A digest for each beginning of a path, from the digest of the one before."""
+    start = F.struct(F.lit("").alias("at"), F.array().cast("array<string>").alias("found"))
+
+    def longer(seen: Column, seg: Column) -> Column:
+        at = F.md5(F.concat(seen["at"], F.lit("/"), seg).cast("binary"))
+        return F.struct(at.alias("at"), F.concat(seen["found"], F.array(at)).alias("found"))
+
+    return F.aggregate(segs, start, longer, lambda seen: seen["found"])
+
+
 def _places(paths: DataFrame) -> DataFrame:
     """A row for each segment of ``now``: what is above it, its position and itself."""
-    return paths.select("*", F.posexplode("now").alias("i", "seg")).withColumn(
-        "above", F.slice("now", F.lit(1), F.col("i"))
-    )
+    marked = once(paths, _begun=_beginnings(F.col("now")))
+    placed = marked.select("*", F.posexplode("now").alias("i", "seg"))
+    return placed.withColumn("above", F.coalesce(F.get("_begun", F.col("i") - 1), F.lit(""))).drop("_begun")
 
 
 def _branches(paths: DataFrame) -> DataFrame:
@@ -94,17 +116,20 @@ def _renamed(paths: DataFrame, names: DataFrame, on: list[str]) -> DataFrame:
 
 
 def templates(paths: DataFrame) -> DataFrame:
-    """``(host, segs, purity)`` of the distinct ``(host, segs)`` with ``n`` pages, ``labelled`` and ``bad`` ones."""
+    """``(host, segs, purity)`` of the distinct ``(host, segs)`` with ``n`` pages, ``labelled`` and ``bad`` ones.
+
+    Rows grow with the segments of the paths; the digests of a path's beginnings, with its square.
+    """
     paths = paths.withColumn("now", F.col("segs"))
     many = F.col("branches") >= BRANCHES
-    while True:
+    for _ in range(PASSES):
         points = _branches(paths).groupBy("host", "above").agg(F.count("*").alias("branches"), F.sum("n").alias("pages"))
         variable = cut(
             points.where(many & (F.col("branches") > F.lit(OWN_SHARE) * F.col("pages"))).select(
                 "host", "above", F.lit("*").alias("name")
             )
         )
-        # a wildcard pools what is below it, which may be variable in turn; no more passes than levels
+        # a wildcard pools what is below it, which may be variable in turn
         if variable.isEmpty():
             break
         paths = cut(_renamed(paths, variable, ["host", "above"]))
@@ -117,12 +142,31 @@ def templates(paths: DataFrame) -> DataFrame:
     alike = labelled.join(beside.where("kinds > 1"), ["host", "above"]).where(apart <= F.lit(ALIKE) * spread)
     paths = _renamed(paths, alike.select("host", "above", "seg", F.lit("+").alias("name")), ["host", "above", "seg"])
 
-    purity = (F.sum("bad") + F.lit(PRIOR * EXPECTED)) / (F.sum("labelled") + F.lit(PRIOR))
     paths = cut(paths)
-    rated = paths.groupBy("host", "now").agg(purity.alias("purity"))
+    sums = [F.sum(c).cast("double").alias(c) for c in ("labelled", "bad")]
+    rated = _inherited(cut(paths.groupBy("host", "now").agg(*sums)))
     return paths.join(rated, ["host", "now"]).select("host", "segs", "purity")
 
 
+def _inherited(trees: DataFrame) -> DataFrame:
+    """``(host, now, purity)`` from the templates ``(host, now, labelled, bad)``."""
+    names = F.split("host", r"\.")
+    domains = F.transform(names, lambda _, i: F.concat_ws(".", F.slice(names, F.size(names) - i, i + 1)))
+    # the nodes a template hangs on: its domains, shortest first, and the beginnings of its path
+    inner = F.transform(F.slice(F.col("_begun"), 1, F.greatest(F.size("now") - 1, F.lit(0))), lambda b: F.concat("host", F.lit("/"), b))
+    marked = once(trees, _begun=_beginnings(F.col("now")))
+    chained = marked.select("host", "now", "labelled", "bad", F.size(names).alias("d"), F.posexplode(F.concat(domains, inner)).alias("i", "node"))
+    branch = F.coalesce(F.get("now", F.greatest(F.col("i") - F.col("d") + 1, F.lit(0))), F.lit("")).alias("branch")
+    share = (F.sum("bad") / F.sum("labelled")).alias("share")
+    votes = chained.where("labelled > 0").groupBy("node", branch).agg(share).groupBy("node").agg(F.sum("share").alias("sum"), F.count("*").alias("votes"))
+    told = chained.join(cut(votes), "node").groupBy("host", "now").agg(F.array_sort(F.collect_list(F.struct("i", "sum", "votes"))).alias("chain"))
+    heard = F.filter("chain", lambda x, i: x["votes"] != F.coalesce(F.get("chain", i + 1)["votes"], F.lit(0)))
+    expected = F.aggregate(heard, F.lit(EXPECTED), lambda p, x: (x["sum"] + F.lit(PRIOR) * p) / (x["votes"] + F.lit(PRIOR)))
+    from_above = F.coalesce(expected, F.lit(EXPECTED))
+    purity = (F.col("bad") + F.lit(PRIOR) * from_above) / (F.col("labelled") + F.lit(PRIOR))
+    return trees.join(told, ["host", "now"], "left").select("host", "now", purity.alias("purity"))
+
+
 def judged(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES, label: Column | None = None, url: str = "url", page_id: str = "page_id") -> DataFrame:
     """``(page_id, host, path, rule, verdict)``, one row per row of ``pages``.
 
