@@ -118,8 +118,8 @@ def deduplicate(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") ->
         "digest", F.sha2(F.coalesce(F.col(f"doc.`{text}`"), F.lit("")), 256)
     )
     same = F.col("id").eqNullSafe(F.col("of")) & (F.col("digest") == F.col("sha"))
-    # the list of rows that go is the shorter one, so that the texts can often stay where they are
-    kept = keyed.join(groups, same, "left_anti").select("doc.*")
+    # the list of rows that go is the shorter one; the same plan at every size, as it grows with the documents
+    kept = keyed.join(groups.hint("merge"), same, "left_anti").select("doc.*")
     repeated = groups.where("kept")
     if repeated.isEmpty():
         return kept
