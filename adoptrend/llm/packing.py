@@ -225,7 +225,12 @@ def plan(counts: np.ndarray, steps: int = STEPS) -> list[tuple[tuple[int, ...],
 
     Depth first over fillings of the largest piece left, least waste first. A branch ends when its
     waste leaves no room for fewer sequences than the incumbent has; the search ends at the lower
-    bound or after ``steps`` steps. Equal counts give equal plans.
+    bound (see ``proved``) or after ``steps`` steps. Equal counts give equal plans.
+
+    Besides ``steps`` the search is bounded in these ways, none of which loses a piece: of a length a
+    filling tries its most copies and the two numbers below; ``FILLINGS`` fillings of a room are
+    looked at, and of them the twelve with the least waste are tested for dominance, by swaps of
+    up to three pieces in fillings of up to six; a filling is repeated as often as the counts allow.
     """
     counts = counts.astype(np.int64)
     capacity = len(counts) - 1
@@ -272,6 +277,11 @@ def plan(counts: np.ndarray, steps: int = STEPS) -> list[tuple[tuple[int, ...],
     return incumbent
 
 
+def proved(counts: np.ndarray, steps: list[tuple[tuple[int, ...], int]]) -> bool:
+    """Whether a plan has the fewest sequences possible, by the lower bound; else a limit ended the search."""
+    return sum(times for _, times in steps) == lower_bound(counts.astype(np.int64))
+
+
 def places(steps: list[tuple[tuple[int, ...], int]]) -> dict[str, np.ndarray]:
     """The plan by length and rank: where the pieces from rank ``rank`` of a length on go."""
     used: dict[int, int] = {}

@@ -31,6 +31,8 @@ NEIGHBOURS = 5
 # symbols of a shape that make one feature
 PIECE = 32
 CUT = 0.3
+# decimals in which similarities are compared
+DIGITS = 5
 # the vote of the overall share of label 1, in units of one neighbour at similarity 1
 PRIOR = 1.0
 
@@ -102,7 +104,7 @@ class Space:
         return np.divide(x, norm, out=np.zeros_like(x), where=norm > 0)
 
     def scores(self, texts: list[bytes | None], neighbours: int) -> np.ndarray:
-        """Similarity-weighted share of label 1 among the nearest; of equal similarities any may count."""
+        """Similarity-weighted share of label 1 among the nearest; of similarities equal in ``DIGITS`` the smaller id, as text."""
         dense = np.zeros((len(texts), FEATURES), np.float32)
         for i, text in enumerate(texts):
             at, value = features(text)
@@ -111,8 +113,10 @@ class Space:
         weight = np.full(len(texts), PRIOR)
         if len(self.y):
             near = np.maximum(self.unit(dense @ self.into) @ self.vectors.T, 0)
-            k = min(neighbours, len(self.y))
-            best = np.argpartition(-near, k - 1, axis=1)[:, :k]
+            k, n = min(neighbours, len(self.y)), len(self.y)
+            # one whole number for similarity and place among the ids, no two alike
+            place = np.rint(near * 10**DIGITS).astype(np.int64) * n + np.arange(n - 1, -1, -1)
+            best = np.sort(np.argpartition(-place, k - 1, axis=1)[:, :k], axis=1)
             chosen = np.take_along_axis(near, best, axis=1)
             votes += (chosen * self.y[best]).sum(axis=1)
             weight += chosen.sum(axis=1)
@@ -169,6 +173,9 @@ def scored(docs: DataFrame, labels: DataFrame, cut: float = CUT, limit: int = LA
 
 
 def accepted(docs: DataFrame, labels: DataFrame, cut: float = CUT, limit: int = LABELLED) -> DataFrame:
-    """The documents whose score reaches ``cut``, with all their columns."""
+    """The documents whose score reaches ``cut``, with all their columns, repeated rows each.
+
+    An absent or empty text has the score of ``scored``: it stays where label 1 is usual enough.
+    """
     space = learn(docs, labels, limit=limit)
     return docs.where(score_column(docs, space) >= cut)

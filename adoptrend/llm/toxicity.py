@@ -153,7 +153,8 @@ def scored(docs: DataFrame, labels: DataFrame, cut: float = CUT, limit: int = LA
     """``(doc_id, held_out, score, predicted)``, one row per row of ``docs``.
 
     An absent or empty text has no n-grams and gets the score of the bias alone. Without labels of
-    both classes every score is the smoothed share of toxic rows, 0.5 without any. No rows give no rows.
+    both classes every score is the smoothed share of toxic rows, 0.5 without any. Rows repeated are
+    scored each; of those that repeat a labelled id, the smallest text is learned from. No rows give no rows.
     """
     weights = learn(docs, labels, limit=limit)
     found = docs.select("doc_id", held_out().alias("held_out"), score_column(docs, weights).alias("score"))

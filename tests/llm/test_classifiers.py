@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import math
 import os
 from zlib import crc32
 
@@ -107,3 +108,48 @@ def test_the_end_of_a_long_word_counts():
     clean, junk = "漢字1、" * 2000, "a|B|7|" * 2000
     start, whole = (set(quality.features(t.encode())[0].tolist()) for t in (clean, clean + junk))
     assert whole - start, "what follows the first symbols has features of its own"
+
+
+def test_quality_is_the_vote_of_dense_vectors():
+    """Every similarity in plain loops over dense vectors; copies of a labelled text make ties, decided by id."""
+    rows, labels = made(60)
+    texts = [t.encode() for _, t in rows] + [rows[0][1].encode()] * 4 + [rows[3][1].encode()] * 7
+    y = np.array([q for _, q, _ in labels] + [1, 0, 1, 0] + [0] * 7)
+    space = quality.Space([quality.features(t) for t in texts], y)
+    asked = [*texts, b"", None, b"something else: 12 x"]
+    got = space.scores(asked, 5)
+    for text, score in zip(asked, got, strict=True):
+        dense = np.zeros(quality.FEATURES)
+        at, value = quality.features(text)
+        for a, v in zip(at, value, strict=True):
+            dense[a] += v
+        latent = dense @ space.into.astype(np.float64)
+        norm = np.linalg.norm(latent)
+        near = [max(0.0, float(v.astype(np.float64) @ latent) / norm) if norm else 0.0 for v in space.vectors]
+        order = sorted(range(len(y)), key=lambda i: (-round(near[i], quality.DIGITS), i))[:5]
+        votes = quality.PRIOR * space.share + sum(near[i] * y[i] for i in order)
+        # a similarity on the border of the last decimal may fall to either side
+        edge = any(abs(near[i] * 10**quality.DIGITS % 1 - 0.5) < 0.02 for i in range(len(y)))
+        assert edge or abs(score - votes / (quality.PRIOR + sum(near[i] for i in order))) < 1e-4
+
+
+def test_toxicity_is_the_score_of_dense_counts(spark):
+    rows, labels = made(120)
+    weights = toxicity.learn(documents(spark, rows), spark.createDataFrame(labels, LABELS))
+    learned = [(t, x) for (i, t), (_, _, x) in zip(rows, labels, strict=True) if not is_held_out(i)]
+    counts = np.zeros((2, 1 << toxicity.BITS))
+    for text, x in learned:
+        for at in set(np.asarray(toxicity.present(text)).tolist()):
+            counts[x, at] += 1
+    frequent = counts.sum(axis=0) >= toxicity.LEAST
+    clean, toxic = counts[0] * frequent, counts[1] * frequent
+    ratio = np.log(((toxic + 1) / (toxic.sum() + 1)) / ((clean + 1) / (clean.sum() + 1)))
+    assert len(weights.at) <= toxicity.SELECTED and set(weights.at) <= set(np.nonzero(frequent)[0])
+    # weights are the ratio times a factor that the regression has moved from 1; the score is their sum
+    factor = weights.weight / ratio[weights.at]
+    assert np.isfinite(weights.weight).all() and (factor[np.abs(ratio[weights.at]) > 0.1] > -1).all()
+    table = dict(zip(weights.at.tolist(), weights.weight, strict=True))
+    scored = {r.doc_id: r.score for r in toxicity.scored(documents(spark, rows), spark.createDataFrame(labels, LABELS)).collect()}
+    for i, text in rows:
+        z = weights.bias + sum(table.get(at, 0.0) for at in set(np.asarray(toxicity.present(text)).tolist()))
+        assert abs(scored[i] - 1 / (1 + math.exp(-z))) < 1e-9

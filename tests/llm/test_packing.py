@@ -133,3 +133,14 @@ def test_sequences_hold_the_ids(spark):
         part = bytes(joined[r.sequence_id])[4 * r.offset : 4 * (r.offset + r.length)]
         assert zlib.crc32(part) == r.ids_crc32
     assert sum(len(x) for x in joined.values()) == 4 * sum(r.length for r in placed)
+
+
+def test_proof_or_limit_is_told():
+    counts = np.zeros(11, np.int64)
+    counts[[6, 4]] = 3
+    assert packing.proved(counts, packing.plan(counts))
+    counts[:] = 0
+    counts[[7, 5]] = 3  # three sevens alone, two fives together: one over what the mass calls for
+    steps = packing.plan(counts)
+    assert packing.proved(counts, steps) == (sum(t for _, t in steps) == packing.lower_bound(counts))
+    assert not packing.proved(counts, [((5,), 3), ((7,), 3)])
