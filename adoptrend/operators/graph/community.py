@@ -3,8 +3,8 @@
 Leiden in rounds: vertices move to the neighbouring community that gains most; each community is
 refined into parts that grew from single vertices and are well connected; the parts become the
 vertices of the next, smaller graph, in the communities reached. All moves of one round are made at
-once, so in each a hashed half of the communities takes vertices and the other half gives some
-away. A round looks only at the frontier, the vertices whose neighbourhood changed.
+once, so in each a community either takes vertices or gives some away, whichever the first of the
+wishes that touch it calls for. A round looks only at the frontier, the vertices whose neighbourhood changed.
 """
 
 from __future__ import annotations
@@ -56,12 +56,23 @@ def _totals(state: DataFrame) -> DataFrame:
     return state.groupBy("community").agg(F.sum("k").alias("_tot"))
 
 
-def _receives(community: str, turn: int, seed: int):
-    """Whether a community takes vertices this turn; the others may only lose some.
+def _granted(wishes: DataFrame, turn: int, seed: int) -> DataFrame:
+    """``(id, best)``: those of the wishes ``(id, mine, best)`` that go together.
 
-    So no two vertices trade places, and none joins what leaves at the same time.
+    Every wish has a priority drawn anew each turn. A community gives or takes by the first of the
+    wishes that touch it, and a wish is granted where its own community gives and the other takes. So
+    no two vertices trade places and none joins what leaves at the same time; the first wish of all
+    is always granted, and late in a run, when few are left, nearly all are.
     """
-    return F.pmod(F.xxhash64(F.col(community), F.lit(seed), F.lit(turn)), F.lit(2)) == 0
+    drawn = F.struct(F.xxhash64("id", F.lit(seed), F.lit(turn)).alias("p"), "id")
+    ends = F.array(
+        F.struct(F.col("mine").alias("c"), F.lit(False).alias("takes"), drawn.alias("p")),
+        F.struct(F.col("best").alias("c"), F.lit(True).alias("takes"), drawn.alias("p")),
+    )
+    roles = wishes.select(F.inline(ends)).groupBy("c").agg(F.max_by("takes", "p").alias("takes"))
+    gives = roles.where("NOT takes").select(F.col("c").alias("mine"))
+    takes = roles.where("takes").select(F.col("c").alias("best"))
+    return cut(wishes.join(gives, "mine", "left_semi").join(takes, "best", "left_semi").select("id", "best"))
 
 
 def _quality(state: DataFrame, links: SplitEdges, total: float) -> tuple[float, int]:
@@ -94,35 +105,26 @@ def _move_round(state: DataFrame, links: SplitEdges, total: float, turn: int, se
     rest = F.col("_tot") - F.when(stays, F.col("k")).otherwise(0.0)
     gain = F.round(F.col("_to") / total - F.col("k") * rest / (total * total), 15)
     offer = F.struct(gain.alias("gain"), (-F.col("community")).alias("minus"))
-    rated = offers.groupBy("id", "_mine").agg(
-        F.max(F.when(stays, gain)).alias("_stay"),
-        F.max(offer).alias("_top"),
-        F.max(F.when(_receives("community", turn, seed), offer)).alias("_open"),
-    )
-    leaves = ~_receives("_mine", turn, seed) & F.coalesce(F.col("_open.gain") > F.col("_stay") + GAIN, F.lit(False))
-    chosen, seen = settle(
-        rated.select(
-            "id", F.when(leaves, -F.col("_open.minus")).alias("best"), (F.col("_top.gain") > F.col("_stay") + GAIN).alias("wants"),
-            (leaves & (F.col("_open.gain") == F.col("_top.gain"))).alias("content"),
-        ),
-        wanting=F.count_if(F.col("wants")),
+    rated = offers.groupBy("id", "_mine").agg(F.max(F.when(stays, gain)).alias("_stay"), F.max(offer).alias("_top"))
+    wishes, seen = settle(
+        rated.where(F.col("_top.gain") > F.col("_stay") + GAIN).select("id", F.col("_mine").alias("mine"), (-F.col("_top.minus")).alias("best")),
+        wanting=F.count(F.lit(1)),
     )
     if not seen["wanting"]:
-        discard(chosen)
+        discard(wishes)
         return state, 0
-    movers = chosen.where("best IS NOT NULL").select("id", F.col("best").alias("_next"))
-    woken = links.send(movers, "_next").select(F.col("dst").alias("id"), "_next")
-    woken = woken.join(state.select("id", "community"), "id").where(F.col("community") != F.col("_next")).select("id").distinct()
+    movers = _granted(wishes, turn, seed)
+    woken = links.send(movers, "best").select(F.col("dst").alias("id"), "best")
+    woken = woken.join(state.select("id", "community"), "id").where(F.col("community") != F.col("best")).select("id")
+    again = wishes.join(movers, "id", "left_anti").select("id")
+    frontier = woken.union(again).distinct().withColumn("active", F.lit(True))
     after = cut(
         state.drop("active")
-        .join(chosen.select("id", "best", (F.col("wants") & ~F.col("content")).alias("_again")), "id", "left")
-        .join(woken.withColumn("_woken", F.lit(True)), "id", "left")
-        .select(
-            "id", "k", "inner", F.coalesce("best", "community").alias("community"),
-            (F.coalesce("_again", F.lit(False)) | F.coalesce("_woken", F.lit(False))).alias("active"),
-        )
+        .join(movers, "id", "left")
+        .join(frontier, "id", "left")
+        .select("id", "k", "inner", F.coalesce("best", "community").alias("community"), F.coalesce("active", F.lit(False)).alias("active"))
     )
-    discard(chosen)
+    discard(wishes, movers)
     return after, seen["wanting"]
 
 
@@ -155,27 +157,25 @@ def _refined(state: DataFrame, links: SplitEdges, total: float, max_rounds: int,
             .where(F.col("_gain") > GAIN)
         )
         offer = F.struct("_gain", (-F.col("_q")).alias("_minus"))
-        takes = _receives("_q", turn, seed)
-        chosen, seen = settle(
-            offers.groupBy(F.col("src").alias("id")).agg(F.max(F.when(takes, offer)).alias("_best")).select(
-                "id", F.when(~_receives("id", turn, seed), -F.col("_best._minus")).alias("_join")
+        wishes, seen = settle(
+            offers.groupBy(F.col("src").alias("id")).agg(F.max(offer).alias("_best")).select(
+                "id", F.col("id").alias("mine"), (-F.col("_best._minus")).alias("best")
             ),
             wanting=F.count(F.lit(1)),
-            joined=F.count("_join"),
         )
         discard(across)
-        if seen["joined"]:
-            joins = chosen.where("_join IS NOT NULL")
-            taken = joins.select(F.col("_join").alias("id")).distinct().withColumn("_taken", F.lit(True))
+        if seen["wanting"]:
+            joins = _granted(wishes, turn, seed)
+            taken = joins.select(F.col("best").alias("id")).distinct().withColumn("_taken", F.lit(True))
             grown = cut(
                 parts.join(joins, "id", "left").join(taken, "id", "left").select(
-                    "id", "k", "_tot", F.coalesce("_join", "part").alias("part"),
-                    (F.col("alone") & F.col("_join").isNull() & F.col("_taken").isNull()).alias("alone"),
+                    "id", "k", "_tot", F.coalesce("best", "part").alias("part"),
+                    (F.col("alone") & F.col("best").isNull() & F.col("_taken").isNull()).alias("alone"),
                 )
             )
-            discard(parts)
+            discard(parts, joins)
             parts = grown
-        discard(chosen)
+        discard(wishes)
         if not seen["wanting"]:
             break
     else:
