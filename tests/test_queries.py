@@ -16,6 +16,8 @@ CHOSEN = [
     "gapfilled_series", "hw_fixed_params", "growth_features", "describe_actors", "community_orgs", "stream_tumbling",
     "forecast_long", "forecast_check", "clusters_check", "pca_check", "community_flow", "stream_sessions",
     "influential_communities", "betweenness_inverse", "pagerank_converged",
+    "asof_labels", "overlapping_work", "cube_levels", "grouping_sets_levels", "sketched_years", "describe_sketched",
+    "stream_sessions_deduplicated",
 ]
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="test tables are absent")
