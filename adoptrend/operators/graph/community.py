@@ -72,7 +72,7 @@ def _granted(wishes: DataFrame, turn: int, seed: int) -> DataFrame:
     roles = wishes.select(F.inline(ends)).groupBy("c").agg(F.max_by("takes", "p").alias("takes"))
     gives = roles.where("NOT takes").select(F.col("c").alias("mine"))
     takes = roles.where("takes").select(F.col("c").alias("best"))
-    return cut(wishes.join(gives, "mine", "left_semi").join(takes, "best", "left_semi").select("id", "best"))
+    return wishes.join(gives, "mine", "left_semi").join(takes, "best", "left_semi").select("id", "best")
 
 
 def _quality(state: DataFrame, links: SplitEdges, total: float) -> tuple[float, int]:
@@ -124,7 +124,7 @@ def _move_round(state: DataFrame, links: SplitEdges, total: float, turn: int, se
         .join(frontier, "id", "left")
         .select("id", "k", "inner", F.coalesce("best", "community").alias("community"), F.coalesce("active", F.lit(False)).alias("active"))
     )
-    discard(wishes, movers)
+    discard(wishes)
     return after, seen["wanting"]
 
 
@@ -173,7 +173,7 @@ def _refined(state: DataFrame, links: SplitEdges, total: float, max_rounds: int,
                     (F.col("alone") & F.col("best").isNull() & F.col("_taken").isNull()).alias("alone"),
                 )
             )
-            discard(parts, joins)
+            discard(parts)
             parts = grown
         discard(wishes)
         if not seen["wanting"]:
@@ -227,19 +227,20 @@ def communities(
         if whole:
             break
         parts = _refined(state, links, total, max_rounds, seed + level)
-        grown = parts.select("id", "part")
-        onward = cut(members.join(grown, "id").select("node", F.col("part").alias("id")))
+        # `part` is also a column of the split edges
+        grown = parts.select("id", F.col("part").alias("_part"))
+        onward = cut(members.join(grown, "id").select("node", F.col("_part").alias("id")))
         crossing = (
-            links.send(grown, "part")
-            .groupBy("dst", F.col("part").alias("_a")).agg(F.sum("w").alias("w"))
-            .join(grown.select(F.col("id").alias("dst"), F.col("part").alias("_b")), "dst")
+            links.send(grown, "_part")
+            .groupBy("dst", F.col("_part").alias("_a")).agg(F.sum("w").alias("w"))
+            .join(grown.select(F.col("id").alias("dst"), F.col("_part").alias("_b")), "dst")
             .groupBy(F.col("_a").alias("src"), F.col("_b").alias("dst")).agg(F.sum("w").alias("w"))
         )
         crossing = cut(crossing)
         within = crossing.where("src = dst").select(F.col("src").alias("id"), F.col("w").alias("_within"))
         merged = (
             state.join(grown, "id")
-            .groupBy(F.col("part").alias("id"))
+            .groupBy(F.col("_part").alias("id"))
             .agg(F.sum("k").alias("k"), F.sum("inner").alias("inner"), F.max("community").alias("community"))
             .join(within, "id", "left")
             .select("id", "k", (F.col("inner") + F.coalesce("_within", F.lit(0.0))).alias("inner"), "community", F.lit(True).alias("active"))

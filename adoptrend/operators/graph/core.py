@@ -76,7 +76,9 @@ class SplitEdges:
         self.edges = parted.repartition(n, *self.keys).persist(StorageLevel.MEMORY_AND_DISK)
 
     def send(self, state: DataFrame, *columns: str) -> DataFrame:
-        """Join ``state(id, columns...)`` to the edges leaving each id."""
+        """Join ``state(id, columns...)`` to the edges leaving each id; a column may not have the name of one of theirs."""
+        if clash := set(columns) & set(self.edges.columns):
+            raise ValueError(f"columns of the edges: {sorted(clash)}")
         sent = state.select(F.col("id").alias("src"), *columns)
         parts = F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1)
         sent = sent.join(F.broadcast(self.heavy), "src", "left").withColumn("part", F.explode(parts)).drop("_parts")

@@ -326,6 +326,27 @@ def test_communities_follow_a_chain_of_cliques(spark):
     assert community.modularity(found, e).first()[0] >= community.modularity(ids, e).first()[0] - 1e-9
 
 
+def test_communities_merge_small_cliques_on_a_higher_level(spark):
+    # a ring of 24 triangles: single vertices stop at triangles, pairs of triangles have more
+    inner = [(3 * g + a, 3 * g + b, 1.0) for g in range(24) for a, b in ((0, 1), (0, 2), (1, 2))]
+    ring = [(3 * g + 2, (3 * g + 3) % 72, 1.0) for g in range(24)]
+    v = spark.createDataFrame([(i,) for i in range(72)], "id long")
+    e = spark.createDataFrame(inner + ring, "src long, dst long, w double")
+    labels = values(community.communities(v, e))
+    assert all(len({labels[3 * g + a] for a in range(3)}) == 1 for g in range(24))
+    found = spark.createDataFrame(list(labels.items()), "id long, community long")
+    triangles = spark.createDataFrame([(i, i // 3) for i in range(72)], "id long, community long")
+    assert community.modularity(found, e).first()[0] > community.modularity(triangles, e).first()[0] + 0.01
+
+
+def test_split_edges_refuse_a_clashing_column(spark):
+    e = spark.createDataFrame([(1, 2, 1.0)], "src long, dst long, w double")
+    links = core.SplitEdges(e)
+    with pytest.raises(ValueError, match="part"):
+        links.send(spark.createDataFrame([(1, 7)], "id long, part long"), "part")
+    links.release()
+
+
 def test_communities_without_edges(spark):
     v, e = graph(spark, [(1, 2)], [3])
     none = e.limit(0)
