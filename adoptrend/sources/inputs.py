@@ -72,12 +72,12 @@ class Inputs:
         return self._commits(self.table("lineitem"))
 
     def _commits(self, lines: DataFrame) -> DataFrame:
-        # counted by key before the name is joined
-        counted = lines.groupBy("l_partkey", month_label(F.col("l_shipdate")).alias("year_month")).agg(
+        # counted by key and first day of the month, both whole numbers, before names are joined
+        counted = lines.groupBy("l_partkey", F.trunc("l_shipdate", "month").alias("month")).agg(
             F.count("*").alias("commit_count")
         )
         return counted.join(self.repos, F.col("l_partkey") == F.col("p_partkey")).select(
-            "repo_name", "year_month", "commit_count"
+            "repo_name", month_label(F.col("month")).alias("year_month"), "commit_count"
         )
 
     @cached_property
