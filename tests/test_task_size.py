@@ -32,3 +32,11 @@ def test_activity_is_counted_by_whole_numbers(spark):
     assert sorted(map(tuple, told.collect()), key=repr) == [("a", "2000-01", 2), ("a", "2000-02", 1), ("b", None, 1), ("c", None, 1)]
     assert re.search(r"HashAggregate\(keys=\[l_partkey#\d+L, month#", re.sub(r"_groupingexpression", "month", plan(told)))
     assert "date_format(cast(" in plan(told)  # only what is left gets its label
+
+
+def test_levels_hold_no_entity_and_group(spark):
+    df = spark.createDataFrame([("e", "a", 1, 2), ("e", "a", 2, 3), (None, "b", 1, 7), ("f", None, 1, 1)], "entity string, a string, b int, n long")
+    told = levels.distinct_at_levels(df, "entity", ["a", "b"], levels.cube_sets(["a", "b"]), ["n"])
+    assert sorted(map(tuple, told.where("grouping_id = 1").collect()), key=repr) == [("a", None, 1, 1, 5), ("b", None, 1, 0, 7), (None, None, 1, 1, 1)]
+    # aggregations: facts by (entity, combination), entities, groups; each before and after its exchange
+    assert len(re.findall(r"\w*Aggregate\(keys=", plan(told))) <= 6
