@@ -30,7 +30,7 @@ ROUNDED = ", ".join(f"round({c}, 6) AS {c}" for c in FEATURES)
 
 def features(t: Inputs) -> DataFrame:
     """Written once: scaling and clustering read them again and again."""
-    return cut(ft.growth_features(t.monthly))
+    return cut(ft.growth_features(t.monthly_table))
 
 
 @query("growth_features", with_views("monthly", extra=FEATURE_VIEWS, body=f"SELECT language, {ROUNDED} FROM features"))

@@ -49,7 +49,7 @@ FORECAST_VIEWS = {**SERIES_VIEWS, "fc": LINEAR}
 
 
 def series(t: Inputs) -> DataFrame:
-    return fc.gapfill(fc.eligible(t.monthly, SPAN))
+    return fc.gapfill(fc.eligible(t.monthly_table, SPAN))
 
 
 def line(t: Inputs) -> DataFrame:

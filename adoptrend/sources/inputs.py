@@ -217,7 +217,8 @@ class Inputs:
 
     @cached_property
     def migration_edges(self) -> DataFrame:
-        return migration.edge_rollup(migration.allowlisted(self.migration_signals, allow=None), EDGE_WEIGHT)
+        """Written once: a row per pair of brands, behind the costliest pass over the log."""
+        return cut(migration.edge_rollup(migration.allowlisted(self.migration_signals, allow=None), EDGE_WEIGHT))
 
     @cached_property
     def migration_graph(self) -> DataFrame:

@@ -40,3 +40,14 @@ def test_levels_hold_no_entity_and_group(spark):
     assert sorted(map(tuple, told.where("grouping_id = 1").collect()), key=repr) == [("a", None, 1, 1, 5), ("b", None, 1, 0, 7), (None, None, 1, 1, 1)]
     # aggregations: facts by (entity, combination), entities, groups; each before and after its exchange
     assert len(re.findall(r"\w*Aggregate\(keys=", plan(told))) <= 6
+
+
+def test_monthly_metrics_and_edges_are_computed_once(spark):
+    months = [(lang, f"{y}-{m:02d}", 10 * k + m, k + m, 5) for k, lang in enumerate(("x", "y")) for y in range(2000, 2007) for m in range(1, 13)]
+    held = spark.createDataFrame(months, "language string, year_month string, total_bytes long, repo_count long, commit_count long")
+    once = SimpleNamespace(monthly_table=held)  # there is nothing else to read
+    assert clusters.features(once).count() == 2
+    assert forecasting.line(once).where(F.col("is_forecast")).count() == 2 * forecasting.EVERY
+    inputs = Inputs(spark, "/none")
+    inputs.__dict__["migration_signals"] = spark.createDataFrame([("a", "b", "2000", 500)], "from_tech string, to_tech string, year string, migration_count long")
+    assert inputs.migration_edges in _written and inputs.migration_edges.count() == 1
