@@ -8,10 +8,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from adoptrend.operators.ordered import CHUNK, ordered_chunks
-from adoptrend.session import cut
+from adoptrend.session import held
 
 # bins of one level that a period may touch before it goes to the next, and how much wider that one's bins are
-FAN = 4
+TOUCHED, FAN = 2, 4
 
 
 def _known(columns: Sequence[str]) -> Column:
@@ -99,11 +99,11 @@ def _bin(x: Column, size: Column) -> Column:
 
 
 def _level(first: Column, last: Column, width: int, levels: int) -> Column:
-    """The finest level at which a period touches at most ``FAN`` bins; the last level takes the rest."""
+    """The finest level at which a period touches at most ``TOUCHED`` bins; the last level takes the rest."""
     level = F.lit(levels - 1)
     for i in reversed(range(levels - 1)):
         size = F.lit(width * FAN**i).cast("long")
-        level = F.when(_bin(last, size) - _bin(first, size) < FAN, F.lit(i)).otherwise(level)
+        level = F.when(_bin(last, size) - _bin(first, size) < TOUCHED, F.lit(i)).otherwise(level)
     return level
 
 
@@ -121,12 +121,13 @@ def overlap_join(
     Periods are pairs of whole-number columns, both ends included; a period with an absent end or key,
     or that ends before it starts, overlaps none. Repeated rows pair each time.
 
-    Time is cut into bins, ``width`` wide at the finest level and ``FAN`` times wider at each next. A
-    period lives at the finest level where it touches few bins, and visits the coarser ones. Two
-    periods meet at the coarser of their two levels, where at least one of them lives, and are reported
-    in the first bin they share: once, and by equal keys only. A period goes to at most ``FAN`` bins at its level and
-    two at coarser ones. ``width`` should be that of a usual period; from the widest bins on,
-    ``width`` * 4 ** (``levels`` - 1), a longer period goes to as many as it touches.
+    Of two overlapping periods one starts within the other. Time is cut into bins, ``width`` wide at
+    the finest level and ``FAN`` times wider at each next. A period lives at the finest level where it
+    touches few bins; its start visits the one bin it falls in at each level where the other side
+    lives. So a pair is found once, in the bin of the later start, those of the left where both start
+    together. A period goes to at most ``TOUCHED`` bins, its start to one a level. ``width`` should be that
+    of a usual period; from the widest bins on, ``width`` * 4 ** (``levels`` - 1), a longer period goes
+    to as many as it touches. Both sides are written first, once where they are the same table.
     """
     marks = [f"_k{i}" for i in range(len(keys))]
 
@@ -134,33 +135,35 @@ def overlap_join(
         start, end = (F.col(f"`{p}`").cast("long") for p in period)
         named = [F.col(f"`{k}`").alias(m) for k, m in zip(keys, marks, strict=True)]
         placed = df.where(_known([*keys, *period]) & (start <= end)).select(
-            *named, start.alias(f"_{name}s"), end.alias(f"_{name}e"), F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias(name)
+            *named, start.alias("_s"), end.alias("_e"), F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias(name)
         )
-        own = _level(F.col(f"_{name}s"), F.col(f"_{name}e"), width, levels)
-        return placed.withColumn(f"_{name}own", own)
+        return placed.withColumn("_own", _level(F.col("_s"), F.col("_e"), width, levels))
 
+    itself = left is right
+    left = held(left)[0]
+    right = left if itself else held(right)[0]
     l, r = binned(left, left_period, "l"), binned(right, right_period, "r")
-    # the levels at which something lives, a row each
-    there = cut(l.select(F.col("_lown").alias("level")).distinct()), cut(r.select(F.col("_rown").alias("level")).distinct())
-    lives = [sorted(row.level for row in t.collect()) for t in there]
-
-    def at_bins(df: DataFrame, name: str, resident: bool, visited: list[int]) -> DataFrame:
-        """Rows at the bins of the level where they live, or of the coarser ones where the other side lives."""
-        own = F.col(f"_{name}own")
-        level = own if resident else F.explode(F.filter(F.array(*[F.lit(v) for v in visited]), lambda v: v > own))
-        size = F.lit(width).cast("long") * F.pow(F.lit(FAN), F.col("_level")).cast("long")
-        first, last = (_bin(F.col(f"_{name}{end}"), size) for end in "se")
-        placed = df.withColumn("_level", level).withColumn(f"_{name}first", first)
-        return placed.withColumn("_bin", F.explode(F.sequence(F.col(f"_{name}first"), last)))
-
-    def met(some: DataFrame, others: DataFrame) -> DataFrame:
-        overlap = (F.col("_ls") <= F.col("_re")) & (F.col("_rs") <= F.col("_le"))
-        once = F.col("_bin") == F.greatest("_lfirst", "_rfirst")
-        return some.join(others, [*marks, "_level", "_bin"]).where(overlap & once).select("l", "r")
-
-    found = met(at_bins(l, "l", True, []), at_bins(r, "r", True, []))
-    if all(lives) and lives[1][-1] > lives[0][0]:
-        found = found.unionByName(met(at_bins(l, "l", False, lives[1]), at_bins(r, "r", True, [])))
-    if all(lives) and lives[0][-1] > lives[1][0]:
-        found = found.unionByName(met(at_bins(l, "l", True, []), at_bins(r, "r", False, lives[0])))
-    return found
+
+    def lives(df: DataFrame) -> list[int]:
+        """The levels at which something lives, no more than ``levels``."""
+        return sorted(row.level for row in df.select(F.col("_own").alias("level")).distinct().collect())
+
+    size = F.lit(width).cast("long") * F.pow(F.lit(FAN), F.col("_level")).cast("long")
+
+    def whole(df: DataFrame, name: str) -> DataFrame:
+        """Periods at the bins of the level where they live."""
+        placed = df.withColumn("_level", F.col("_own"))
+        bins = F.explode(F.sequence(_bin(F.col("_s"), size), _bin(F.col("_e"), size)))
+        return placed.select(*marks, "_level", bins.alias("_bin"), F.col("_s").alias("_from"), F.col("_e").alias("_to"), name)
+
+    def starts(df: DataFrame, name: str, visited: list[int]) -> DataFrame:
+        """The starts of periods at the bin of each level where the other side lives."""
+        placed = df.withColumn("_level", F.explode(F.array(*[F.lit(v).cast("int") for v in visited]).cast("array<int>")))
+        return placed.select(*marks, "_level", _bin(F.col("_s"), size).alias("_bin"), F.col("_s").alias("_start"), name)
+
+    l_lives = lives(l)
+    r_lives = l_lives if itself and left_period == right_period else lives(r)
+    meeting = [*marks, "_level", "_bin"]
+    later_l = starts(l, "l", r_lives).join(whole(r, "r"), meeting).where("_from <= _start AND _start <= _to")
+    later_r = whole(l, "l").join(starts(r, "r", l_lives), meeting).where("_from < _start AND _start <= _to")
+    return later_l.select("l", "r").unionByName(later_r.select("l", "r"))

@@ -42,6 +42,13 @@ def test_levels_hold_no_entity_and_group(spark):
     assert len(re.findall(r"\w*Aggregate\(keys=", plan(told))) <= 6
 
 
+def test_overlap_reads_its_rows_once(spark):
+    df = spark.createDataFrame([(1, 1, 5), (1, 5, 9), (1, 7, 7), (2, 1, 9)], "k int, s int, e int")
+    found = temporal.overlap_join(df, df, ["k"], ("s", "e"), ("s", "e"), 2)
+    assert found.count() == 8 and "ExistingRDD" not in plan(found) and "LocalTableScan" not in plan(found)
+    assert len(set(re.findall(r"cut-[0-9a-f]{32}", found._jdf.queryExecution().toString()))) <= 1
+
+
 def test_monthly_metrics_and_edges_are_computed_once(spark):
     months = [(lang, f"{y}-{m:02d}", 10 * k + m, k + m, 5) for k, lang in enumerate(("x", "y")) for y in range(2000, 2007) for m in range(1, 13)]
     held = spark.createDataFrame(months, "language string, year_month string, total_bytes long, repo_count long, commit_count long")
