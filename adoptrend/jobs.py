@@ -20,7 +20,7 @@ from adoptrend.functions.fixed import CLUSTERS, FEATURES, TOP_ACTORS, TOP_SERIES
 from adoptrend.operators import actors, clean, extract, features, forecast, migration, serving, trends
 from adoptrend.operators.graph import betweenness as between
 from adoptrend.operators.graph import community, core, rank
-from adoptrend.session import cut, drop_scratch, tune
+from adoptrend.session import cut, drop_scratch, tune_for_logs
 from adoptrend.sources import log, sinks
 
 SERVED_CATEGORIES = 20
@@ -31,7 +31,7 @@ class Job:
     """One run over one base folder."""
 
     def __init__(self, spark: SparkSession, base: str):
-        self.spark, self.base = tune(spark), base.rstrip("/")
+        self.spark, self.base = tune_for_logs(spark), base.rstrip("/")
 
     def raw(self, name: str) -> DataFrame:
         return sinks.read_table(self.spark, f"{self.base}/raw/{name}")

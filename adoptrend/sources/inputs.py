@@ -18,7 +18,7 @@ from adoptrend.functions.text import normalise
 from adoptrend.operators import actors, clean, extract, migration, serving, trends
 from adoptrend.operators.graph import core, rank
 from adoptrend.operators.ordered import previous_value
-from adoptrend.session import cut, tune
+from adoptrend.session import cut, tune_for_logs
 
 # thresholds that bite on the test tables; the library's defaults are the published ones
 CUTOFF = "2001-06"
@@ -39,7 +39,7 @@ class Inputs:
     """Lazily built logical tables of one data folder."""
 
     def __init__(self, spark: SparkSession, folder: str):
-        self.spark = tune(spark)
+        self.spark = tune_for_logs(spark)
         self.folder = folder.rstrip("/")
 
     def table(self, name: str) -> DataFrame:

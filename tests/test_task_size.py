@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from adoptrend.operators import levels, temporal
 from adoptrend.plans import clusters, forecasting
-from adoptrend.session import _written, tune
+from adoptrend.session import _written
 from adoptrend.sources.inputs import Inputs
 
 
@@ -18,7 +18,7 @@ def plan(df):
 
 
 def test_tasks_are_bounded(spark):
-    tune(spark)
+    Inputs(spark, "/none")
     # larger input gives more tasks, not larger ones (10 GB executors, four tasks each, hold 3.6 GB a task)
     assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "8m"
     assert spark.conf.get("spark.sql.files.maxPartitionBytes") == "16m"
