@@ -7,8 +7,10 @@ up as in MaxScore: terms are sorted by bound, and those whose bounds together ca
 over the k-th best score so far are non-essential. The essential terms are summed for all vectors
 of the shard; the others are probed only for vectors that can still compete.
 
-Queries travel in blocks to shards of vectors. What a task has found for a block is one small list,
-and lists are merged by query.
+Vectors are dealt to areas of a bounded size, one a task, which holds its area as shards. Queries are
+sent to every area and stream past its shards in blocks, so no task holds them all and nothing goes
+through the driver. What is sent grows with the queries times the areas; what is written is one small
+list for each query and area, and lists are merged by query.
 """
 
 from __future__ import annotations
@@ -20,15 +22,22 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from adoptrend.llm.base import small_batches
+from adoptrend.llm.base import arrow_batches
 from adoptrend.session import cut
 
 SCALE = 256
 TOP = 5
 SHARD = 2048
 BLOCK = 512
-# integers up to here are exact as doubles
-EXACT = 1 << 53
+# components of an area, of one shard with what it is padded by, and of what is probed at once
+AREA = 1 << 24
+WIDEST = 1 << 22
+# the others of a block are probed where no more than one in so many vectors can compete, else summed for all
+PROBED = 16
+# areas for each task slot where the vectors are few
+SPREAD = 2
+# integers below are exact as floats of 4 and 8 bytes
+EXACT = {np.float32: 1 << 24, np.float64: 1 << 53}
 
 
 def quantised(vector: str = "embedding") -> Column:
@@ -49,81 +58,141 @@ def _matrix(rows) -> np.ndarray:
     return out
 
 
+def _exact(most: int) -> type:
+    """The smallest type that holds whole numbers up to ``most`` exactly; matrices of floats are multiplied much faster."""
+    return next((kind for kind, end in EXACT.items() if most < end), np.int64)
+
+
 class Shard:
     """Vectors by term, with the bounds of every term."""
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray):
-        self.ids, self.vectors = ids, vectors
-        # doubles where no sum of products can leave their exact range
-        self.largest = int(np.abs(vectors).max(initial=0))
-        self.low, self.high = vectors.min(axis=0, initial=0), vectors.max(axis=0, initial=0)
-        self.columns = np.ascontiguousarray(vectors.T)
+        self.ids = ids
+        self.low, self.high = (m.astype(np.int64) for m in (vectors.min(axis=0, initial=0), vectors.max(axis=0, initial=0)))
+        self.largest = max(-int(self.low.min(initial=0)), int(self.high.max(initial=0)))
+        self.columns = np.ascontiguousarray(vectors.T, _exact(self.largest))
 
     def search(self, own: int, query: np.ndarray, k: int, least: int | None) -> tuple[np.ndarray, np.ndarray]:
         """Ids and scores of vectors that can be among the k best, given that ``least`` is known to be reached k times."""
-        width = min(len(query), len(self.columns))
-        query = query[:width]
-        ends = np.stack([query * self.low[:width], query * self.high[:width]])
-        bottom, bound = int(ends.min(axis=0).sum()), ends.max(axis=0) - ends.min(axis=0)
-        order = np.argsort(bound, kind="stable")
-        reach = np.cumsum(bound[order])
-        # the first terms of the order, all together, don't reach the k-th best score
-        spare = 0 if least is None else int(np.searchsorted(reach, least - bottom, "left"))
-        essential, others = order[spare:], order[:spare]
-        if not len(essential) and least is not None and len(others):
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        scores = self.sums(query, essential, slice(None))
-        rest = ends[:, others]
-        competitive = np.arange(len(self.ids))
-        if least is not None:
-            competitive = np.nonzero(scores + int(rest.max(axis=0).sum()) >= least)[0]
-        scores = scores[competitive] + self.sums(query, others, competitive)
-        mine = self.ids[competitive] != own
-        ids, scores = self.ids[competitive][mine], scores[mine]
+        known = np.array([least is not None])
+        _, ids, scores, _ = self.reached(np.array([own]), query[None, :], k, np.array([least or 0]), known)
         best = np.lexsort((ids, -scores))[:k]
         return ids[best], scores[best]
 
-    def sums(self, query: np.ndarray, terms: np.ndarray, rows) -> np.ndarray:
-        q, part = query[terms], self.columns[terms][:, rows]
-        if len(terms) * self.largest * int(np.abs(q).max(initial=0)) < EXACT:
-            return (q.astype(np.float64) @ part.astype(np.float64)).astype(np.int64)
-        return q @ part
-
-
-def _searched(batches: Iterator[pd.DataFrame], k: int) -> Iterator[pd.DataFrame]:
-    """Rows (shard with its vectors, block with its queries) in; the best of each query in this task out."""
-    best: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-    at, shard = None, None
-
-    def listed() -> pd.DataFrame:
-        rows = [(q, int(i), int(s)) for q, (ids, scores) in best.items() for i, s in zip(ids, scores, strict=True)]
-        best.clear()
-        return pd.DataFrame(rows, columns=["query_id", "vec_id", "score"]).astype("int64")
-
+    def reached(
+        self, own: np.ndarray, queries: np.ndarray, k: int, least: np.ndarray, known: np.ndarray, split: bool = True
+    ) -> tuple[np.ndarray, np.ndarray, np.ndarray, bool]:
+        """``(at, ids, scores)``: vectors that can be among the k best of ``queries[at]``, and whether bounds ruled most of them out.
+
+        Where ``known``, ``least`` has to be reached, elsewhere what the k best of this shard reach. With ``split``
+        off all terms are essential: the result is the same.
+        """
+        width = min(queries.shape[1], len(self.columns))
+        queries = queries[:, :width]
+        ends = queries * self.low[:width], queries * self.high[:width]
+        bottom, top = np.minimum(*ends), np.maximum(*ends)
+        bound, need = top - bottom, least - bottom.sum(axis=1)
+        # the others don't reach the k-th best score, with all of their terms together
+        live = np.nonzero(~known | (bound.sum(axis=1) >= need))[0]
+        own, queries, bound, top, need, least, known = (x[live] for x in (own, queries, bound, top, need, least, known))
+        kind = _exact(width * self.largest * int(np.abs(queries).max(initial=0)))
+        others = np.zeros(queries.shape, bool)
+        if split:
+            order = np.argsort(bound, axis=1, kind="stable")
+            reach = np.cumsum(np.take_along_axis(bound, order, axis=1), axis=1)
+            np.put_along_axis(others, order, (reach < need[:, None]) & known[:, None], axis=1)
+        scores = self.sums(np.where(others, 0, queries), kind)
+        floor = (least - np.where(others, top, 0).sum(axis=1)).astype(kind)
+        if not known.all():
+            floor[~known] = self._kth(own[~known], scores[~known], k)
+        compete = scores >= floor[:, None]
+        ruled_out = True
+        if others.any():
+            left = int(np.count_nonzero(compete))
+            ruled_out = PROBED * left <= compete.size and left * width <= WIDEST
+            if not ruled_out:
+                scores += self.sums(np.where(others, queries, 0), kind)
+                compete = scores >= np.where(known, least.astype(kind), floor)[:, None]
+        at, of = np.nonzero(compete)
+        found = scores[at, of].astype(np.int64)
+        if others.any() and ruled_out:
+            found += np.einsum("ij,ij->i", np.where(others, queries, 0)[at], self.columns[:width, of].T.astype(np.int64))
+        kept = (self.ids[of] != own[at]) & (~known[at] | (found >= least[at]))
+        return live[at[kept]], self.ids[of[kept]], found[kept], ruled_out
+
+    def sums(self, queries: np.ndarray, kind: type) -> np.ndarray:
+        """Scores of all vectors, exact in numbers of this kind."""
+        return queries.astype(kind) @ self.columns[: queries.shape[1]].astype(kind, copy=False)
+
+    def _kth(self, own: np.ndarray, scores: np.ndarray, k: int) -> np.ndarray:
+        """What the k best of each row of scores reach, the query's own vectors left out; the lowest number where there are fewer."""
+        none = np.iinfo(np.int64).min if scores.dtype == np.int64 else -np.inf
+        scores[self.ids[None, :] == own[:, None]] = none
+        if len(self.ids) <= k:
+            return np.full(len(own), none, scores.dtype)
+        return np.partition(scores, len(self.ids) - k, axis=1)[:, -k]
+
+
+class Best:
+    """The k best so far of a block of queries."""
+
+    def __init__(self, own: np.ndarray, queries: np.ndarray, k: int):
+        self.own, self.queries, self.k = own, queries, k
+        self.at, self.ids, self.scores = (np.zeros(0, np.int64) for _ in range(3))
+        self.least, self.known, self.split = np.zeros(len(own), np.int64), np.zeros(len(own), bool), True
+
+    def visit(self, shard: Shard) -> None:
+        """Merge what ``shard`` has, whose ids are none of them smaller than those of shards before."""
+        # of equal scores the smaller id stays, so more than the k-th best is needed
+        at, ids, scores, ruled_out = shard.reached(self.own, self.queries, self.k, self.least + 1, self.known, self.split)
+        # where bounds rule little out, terms apart only cost a second sum
+        self.split &= ruled_out
+        if not len(at):
+            return
+        at, ids, scores = (np.concatenate(x) for x in ((self.at, at), (self.ids, ids), (self.scores, scores)))
+        order = np.lexsort((ids, -scores, at))
+        at, ids, scores = at[order], ids[order], scores[order]
+        place = np.arange(len(at)) - np.searchsorted(at, at)
+        last = place == self.k - 1
+        self.least[at[last]], self.known[at[last]] = scores[last], True
+        self.at, self.ids, self.scores = (x[place < self.k] for x in (at, ids, scores))
+
+    def listed(self) -> pd.DataFrame:
+        return pd.DataFrame({"query_id": self.own[self.at], "vec_id": self.ids, "score": self.scores})
+
+
+def _searched(batches: Iterator[pd.DataFrame], k: int, shard: int) -> Iterator[pd.DataFrame]:
+    """Rows ``(asks, vec_id, x)`` of one area in, its vectors by id before the queries; the best of each query there out."""
+    shards: list[Shard] = []
+    ids: list[int] = []
+    rows: list[np.ndarray] = []
+    widest = 0
     for batch in batches:
-        for row in batch.itertuples():
-            if at != row.shard:
-                at, shard = row.shard, Shard(np.asarray(row.ids, np.int64), _matrix(row.vectors))
-            for own, query in zip(row.queries, row.asked, strict=True):
-                own = int(own)
-                ids, scores = best.get(own, (np.zeros(0, np.int64), np.zeros(0, np.int64)))
-                least = int(scores[-1]) if len(scores) == k else None
-                new, reached = shard.search(own, np.asarray(query, np.int64), k, least)
-                ids, scores = np.concatenate([ids, new]), np.concatenate([scores, reached])
-                order = np.lexsort((ids, -scores))[:k]
-                best[own] = (ids[order], scores[order])
-            if len(best) >= 16 * BLOCK:
-                yield listed()
-    yield listed()
-
-
-def blocks(rows: DataFrame, count: int, number: str, ids: str, vectors: str) -> DataFrame:
-    """Rows ``(vec_id, x)`` in ``count`` blocks of about one size, by a hash of the id and the vector."""
-    return (
-        rows.groupBy(F.pmod(F.xxhash64("vec_id", "x"), F.lit(count)).alias(number))
-        .agg(F.collect_list(F.struct("vec_id", "x")).alias("rows"))
-        .select(number, F.col("rows.vec_id").alias(ids), F.col("rows.x").alias(vectors))
-    )
+        asks = batch["asks"].to_numpy(bool)
+        for i, x in zip(batch["vec_id"].to_numpy(np.int64)[~asks], batch["x"].to_numpy()[~asks], strict=True):
+            if rows and (len(rows) == shard or (len(rows) + 1) * max(widest, len(x)) > WIDEST):
+                shards.append(Shard(np.array(ids, np.int64), _matrix(rows)))
+                ids, rows, widest = [], [], 0
+            ids.append(i)
+            rows.append(x)
+            widest = max(widest, len(x))
+        if not asks.any():
+            continue
+        if rows:
+            shards.append(Shard(np.array(ids, np.int64), _matrix(rows)))
+            ids, rows, widest = [], [], 0
+        best = Best(batch["vec_id"].to_numpy(np.int64)[asks], _matrix(batch["x"].to_numpy()[asks]), k)
+        for one in shards:
+            best.visit(one)
+        yield best.listed()
+
+
+def _narrowest(low: int | None, high: int | None) -> str:
+    """The shortest type for numbers from ``low`` to ``high``."""
+    for kind, end in (("short", 1 << 15), ("int", 1 << 31)):
+        if -end <= (low or 0) and (high or 0) < end:
+            return kind
+    return "long"
 
 
 def top_scores(vectors: DataFrame, queries: DataFrame, k: int = TOP, shard: int = SHARD, block: int = BLOCK) -> DataFrame:
@@ -138,19 +207,27 @@ def top_scores(vectors: DataFrame, queries: DataFrame, k: int = TOP, shard: int
     there = F.col("vec_id").isNotNull() & F.col("x").isNotNull()
     asked = cut(queries.where(there).groupBy("vec_id").agg(F.min("x").alias("x")))
     held = cut(vectors.where(there).select("vec_id", "x"))
-    n_shards = -(-held.count() // shard) or 1
-    shards = blocks(held, n_shards, "shard", "ids", "vectors")
-    # every block of the stated queries visits every shard
-    visits = blocks(asked, -(-asked.count() // block) or 1, "block", "queries", "asked").withColumn(
-        "shard", F.explode(F.sequence(F.lit(0), F.lit(n_shards - 1)).cast("array<long>"))
+    ends = [F.min(F.array_min("x")).alias("low"), F.max(F.array_max("x")).alias("high")]
+    seen = held.agg(F.count("*").alias("rows"), F.sum(F.size("x")).alias("components"), *ends).first()
+    areas = max(
+        -(-(seen.components or 0) // AREA),
+        min(-(-seen.rows // shard), SPREAD * vectors.sparkSession.sparkContext.defaultParallelism),
+        1,
     )
-    small_batches(vectors.sparkSession, 4)  # a row holds a whole shard
-    found = cut(
-        visits.join(shards, "shard").mapInPandas(
-            lambda batches: _searched(batches, k), "query_id long, vec_id long, score long"
+    least = asked.agg(*ends).first()
+    kind = f"array<{_narrowest(min(seen.low or 0, least.low or 0), max(seen.high or 0, least.high or 0))}>"
+    area = F.pmod(F.xxhash64("vec_id", "x"), F.lit(areas)).cast("int")
+    dealt = held.select(area.alias("area"), F.lit(False).alias("asks"), "vec_id", F.col("x").cast(kind).alias("x"))
+    # sent without a join: one side would look as short as the stated queries are before they go to every area, and be broadcast
+    every = F.explode(F.sequence(F.lit(0), F.lit(areas - 1)))
+    sent = asked.select(every.alias("area"), F.lit(True).alias("asks"), "vec_id", F.col("x").cast(kind).alias("x"))
+    laid = dealt.unionByName(sent).repartitionById(areas, "area").sortWithinPartitions("asks", "vec_id")
+    with arrow_batches(vectors.sparkSession, block):
+        found = cut(
+            laid.select("asks", "vec_id", "x").mapInPandas(
+                lambda batches: _searched(batches, k, shard), "query_id long, vec_id long, score long"
+            )
         )
-    )
-    small_batches(vectors.sparkSession)
     first = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     return (
         found.withColumn("rank", F.row_number().over(first))

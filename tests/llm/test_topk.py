@@ -68,3 +68,42 @@ def test_shard_search_is_exact_and_skips(scale):
             assert list(zip(ids, scores, strict=True))[: len(want)] == want
     # a bound no vector of the shard can reach ends the search before any term is summed
     assert len(shard.search(0, vectors[0], 5, int(np.abs(vectors).max()) ** 2 * 17)[0]) == 0
+
+
+def test_queries_reach_every_area_and_nothing_is_broadcast(spark, monkeypatch):
+    plans = []
+    monkeypatch.setattr(topk, "cut", lambda df, real=topk.cut: plans.append(df._jdf.queryExecution().executedPlan().toString()) or real(df))
+    monkeypatch.setattr(topk, "AREA", 1000, raising=False)
+    pick = random.Random(3)
+    rows = [(i, f32([pick.gauss(0, 0.125) for _ in range(8)])) for i in range(600)]
+    rows += [(i, f32([0.75] * 8)) for i in range(600, 700)]  # ties over all areas
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<float>").select("vec_id", topk.quantised().alias("x"))
+    got = topk.top_scores(vectors, vectors.where("vec_id % 10 = 0"), 7, shard=32, block=16)
+    assert sorted(tuple(r) for r in got.collect()) == best(rows, 10, 7)
+    # each query goes to every area: as a side of a join they look short to the optimizer, and pass through the driver
+    assert plans and not any("Broadcast" in p for p in plans)
+
+
+@pytest.mark.parametrize("probed", [1, 1 << 30])
+@pytest.mark.parametrize("spread", [1, 1 << 12, 1 << 23])
+def test_bounds_rule_out_nothing_that_is_wanted(monkeypatch, spread, probed):
+    # the other terms are probed for what can compete or summed for all; the result is that of all terms at once
+    monkeypatch.setattr(topk, "PROBED", probed, raising=False)
+    rng = np.random.default_rng(4)
+    vectors = rng.integers(-9, 9, (300, 12))
+    vectors[:, :2] = rng.integers(-99, 99, (300, 2)) * spread
+    shard, ids = topk.Shard(np.arange(300), vectors), np.arange(40)
+    exact = vectors[:40].astype(object) @ vectors.T.astype(object)
+    least = np.array([sorted(row, reverse=True)[6] for row in exact.tolist()], np.int64)
+    for known in (np.ones(40, bool), np.arange(40) % 2 == 0):
+        found = []
+        for split in (True, False):
+            at, of, scores, ruled_out = shard.reached(ids, vectors[:40], 5, least, known, split)
+            assert ruled_out == (not split or probed == 1)
+            assert all(exact[a][i] == s for a, i, s in zip(at.tolist(), of.tolist(), scores.tolist(), strict=True))
+            found.append(sorted(zip(at.tolist(), of.tolist(), scores.tolist(), strict=True)))
+        assert found[0] == found[1]
+        for a in range(40):
+            others = sorted(((s, i) for i, s in enumerate(exact[a].tolist()) if i != a), reverse=True)
+            end = int(least[a]) if known[a] else others[4][0]
+            assert sorted((s, i) for x, i, s in found[0] if x == a) == sorted((s, i) for s, i in others if s >= end)
